@@ -4,15 +4,17 @@ Allocations are rows ``(portfolio_id, symbol, w)``. Frames keep the calendar pos
 ``date`` so that later steps need neither a second alignment nor an unpartitioned sort.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.align import align, with_overlap
-from tickloom.operators.skew import skew_join
+from tickloom.operators.align import Series, align, with_overlap
+from tickloom.operators.skew import fits_broadcast, skew_join
 
 # Fixed value: trading days in a year.
 TRADING_DAYS = 252
 
+DATE_BLOCK = 32
+
 
 def normalize_prices(prices: DataFrame, **layout) -> DataFrame:
     """``(date, symbol, t, norm)``: every price over its symbol's price on the first calendar date.
@@ -24,14 +26,36 @@ def normalize_prices(prices: DataFrame, **layout) -> DataFrame:
     return s.with_columns(norm=F.try_divide("price", s.first("price"))).select("date", "symbol", "t", "norm")
 
 
+def _value_series(normalized: DataFrame, alloc: DataFrame, lookback: int) -> Series:
+    """Portfolio values laid out in blocks of the calendar, ready for windows over ``lookback`` rows.
+
+    Allocations of a counted, bounded size are broadcast to prices already cut into date blocks, so
+    the values and the windows over them are computed where the blocks lie, without shuffling
+    portfolios × dates. Larger allocations are joined by symbol with their hot symbols split.
+    Aligned prices hold equally many rows per symbol, so only the allocations can be hot.
+    """
+    value = [F.max("date").alias("date"),
+             F.when(F.count(F.lit(1)) == F.count("norm"), F.sum(F.col("norm") * F.col("w"))).alias("port_value")]
+    if fits_broadcast(alloc):
+        cut = with_overlap(normalized, ("portfolio_id",), lookback, DATE_BLOCK)
+        tasks = int(normalized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        held = cut.rows.repartition(tasks, "blk").join(F.broadcast(alloc), "symbol")
+        return Series(held.groupBy("portfolio_id", "blk", "t").agg(*value), cut.key, lookback, cut.block)
+    held = skew_join(normalized, alloc, "symbol", sides=("right",))
+    return with_overlap(held.groupBy("portfolio_id", "t").agg(*value), ("portfolio_id",), lookback)
+
+
 def portfolio_value(normalized: DataFrame, alloc: DataFrame) -> DataFrame:
     """``(portfolio_id, date, t, port_value)``, missing on dates when any held symbol is missing."""
-    held = skew_join(normalized, alloc, "symbol")
-    return (held.groupBy("portfolio_id", "t")
-            .agg(F.max("date").alias("date"), F.count(F.lit(1)).alias("_held"), F.count("norm").alias("_priced"),
-                 F.sum(F.col("norm") * F.col("w")).alias("_sum"))
-            .select("portfolio_id", "date", "t",
-                    F.when(F.col("_held") == F.col("_priced"), F.col("_sum")).alias("port_value")))
+    return _value_series(normalized, alloc, 0).select("portfolio_id", "date", "t", "port_value")
+
+
+def _add_return(s: Series, value_col: str, keep_first: bool) -> Series:
+    before = s.previous(value_col)
+    change = F.try_divide(F.col(value_col) - before, before)
+    if keep_first:
+        change = F.when(F.col("t") == 0, F.col(value_col)).otherwise(change)
+    return s.with_columns(daily_return=change)
 
 
 def daily_returns(values: DataFrame, *, key=("portfolio_id",), value_col: str = "port_value",
@@ -40,12 +64,8 @@ def daily_returns(values: DataFrame, *, key=("portfolio_id",), value_col: str =
 
     Row 0 has no return; ``keep_first`` leaves the raw value there instead.
     """
-    s = with_overlap(values, key, lookback=1)
-    before = s.previous(value_col)
-    change = F.try_divide(F.col(value_col) - before, before)
-    if keep_first:
-        change = F.when(F.col("t") == 0, F.col(value_col)).otherwise(change)
-    return s.with_columns(daily_return=change).select(*key, "date", "t", "daily_return")
+    s = _add_return(with_overlap(values, key, lookback=1), value_col, keep_first)
+    return s.select(*key, "date", "t", "daily_return")
 
 
 def _skip_missing(stat, strict_nulls):
@@ -77,7 +97,8 @@ def cumulative_return(values: DataFrame, *, key=("portfolio_id",), value_col: st
 
 def sharpe(prices: DataFrame, alloc: DataFrame, *, ddof: int = 1, strict_nulls: bool = False, **layout) -> DataFrame:
     """Mean over standard deviation of the daily returns, annualised, risk-free rate 0."""
-    returns = daily_returns(portfolio_value(normalize_prices(prices, **layout), alloc))
+    values = _value_series(normalize_prices(prices, **layout), alloc, lookback=1)
+    returns = _add_return(values, "port_value", False).select("portfolio_id", "t", "daily_return")
     mean = _skip_missing(F.avg("daily_return"), strict_nulls)
     sd = (F.stddev_samp if ddof else F.stddev_pop)("daily_return")
     return (returns.where(F.col("t") > 0).groupBy("portfolio_id")

@@ -5,6 +5,12 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 10_000
 MIN_SHARE = 1_000
+BROADCAST_ROWS = 1_000_000
+
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df``, a relation of a few narrow columns, has at most ``rows`` rows (counted by a job)."""
+    return df.count() <= rows
 
 
 def _salt_counts(df: DataFrame, on, name: str) -> DataFrame:
@@ -15,7 +21,7 @@ def _salt_counts(df: DataFrame, on, name: str) -> DataFrame:
         *on, F.ceil(F.col("_n") / F.col("_share")).cast("int").alias(name))
 
 
-def skew_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, on, sides=("left", "right")) -> DataFrame:
     """Inner equi-join in which no key's pairs land in one task.
 
     A key is hot on a side when it holds more than 1/10,000 of that side's rows. So at most 10,000
@@ -23,17 +29,20 @@ def skew_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     hot key are dealt over salts by a hash of the row, and the other side's rows of that key are
     copied once per salt: one copy for at least a thousand pairs. Other keys keep one copy under
     salt 0. Every pair appears exactly once.
+
+    ``sides`` names the sides whose keys are counted, each at the price of one more pass over the key
+    column; leave out a side whose keys are known to be even.
     """
     on = [on] if isinstance(on, str) else list(on)
-    salts = F.broadcast(_salt_counts(left, on, "_ls").join(_salt_counts(right, on, "_rs"), on, "full_outer"))
-
-    def dealt(df, own, other, own_salt, other_salt):
-        row = F.xxhash64(*[F.col(c) for c in df.columns if c not in on])
-        copies = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
-        return (df.join(salts, on, "left")
-                .withColumn(own_salt, F.pmod(row, F.coalesce(own, F.lit(1))).cast("int"))
-                .withColumn(other_salt, copies).drop("_ls", "_rs"))
-
-    l = dealt(left, "_ls", "_rs", "_lsalt", "_rsalt")
-    r = dealt(right, "_rs", "_ls", "_rsalt", "_lsalt")
-    return l.join(r, [*on, "_lsalt", "_rsalt"]).drop("_lsalt", "_rsalt")
+    frames = {"left": left, "right": right}
+    hot = {side: F.broadcast(_salt_counts(frames[side], on, "_salts")) for side in sides}
+    row = {side: F.xxhash64(*[F.col(c) for c in frames[side].columns if c not in on]) for side in sides}
+    n = F.coalesce("_salts", F.lit(1))
+    for side in sides:
+        other = "right" if side == "left" else "left"
+        frames[side] = frames[side].join(hot[side], on, "left").withColumn(
+            f"_{side}_salt", F.pmod(row[side], n).cast("int")).drop("_salts")
+        frames[other] = frames[other].join(hot[side], on, "left").withColumn(
+            f"_{side}_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("_salts")
+    salts = [f"_{side}_salt" for side in sides]
+    return frames["left"].join(frames["right"], [*on, *salts]).drop(*salts)
