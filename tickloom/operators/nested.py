@@ -7,7 +7,7 @@ Everything here is per document, so it runs where the document lies; only ``unit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.skew import skew_join
+from tickloom.operators.skew import fits_broadcast, skew_join
 
 # The fields of a company document and of one unit item, in the order of the target schema.
 DOCUMENT_FIELDS = ["cik", "taxonomy", "tag", "label", "description", "entityName"]
@@ -20,10 +20,14 @@ _CORRUPT = "_corrupt"
 
 
 def parse_documents(df: DataFrame, text_col: str) -> DataFrame:
-    """``df`` with the parsed ``doc`` beside the text; ``_corrupt`` holds the text that failed."""
+    """``df`` with the parsed ``doc`` beside the text; ``_corrupt`` holds the text that failed.
+
+    The parse is generated as a one-element list: Spark would copy a plain ``from_json`` into every
+    later filter and field access, and parse each text that many times.
+    """
     schema = f"{DOCUMENT_SCHEMA}, {_CORRUPT} string"
     doc = F.from_json(text_col, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    return df.withColumn("doc", doc).withColumn(_CORRUPT, F.col(f"doc.{_CORRUPT}"))
+    return df.select("*", F.explode(F.array(doc)).alias("doc")).withColumn(_CORRUPT, F.col(f"doc.{_CORRUPT}"))
 
 
 def drop_failed_rows(parsed: DataFrame) -> DataFrame:
@@ -82,7 +86,11 @@ def explode_units(docs: DataFrame, keep=("cik",)) -> DataFrame:
 
 def units_for_keys(docs: DataFrame, keys: DataFrame, key: str = "cik") -> DataFrame:
     """Units and their number for the documents whose key is in ``keys`` (one row per key)."""
-    found = skew_join(docs.select(key, "units"), keys.select(key).distinct(), key, sides=("left",))
+    docs, wanted = docs.select(key, "units"), keys.select(key).distinct()
+    if fits_broadcast(wanted):
+        found = docs.join(F.broadcast(wanted), key)
+    else:
+        found = skew_join(docs, wanted, key, sides=("left",))
     return found.withColumn("n_units", F.greatest(F.coalesce(F.size("units"), F.lit(0)), F.lit(0)))
 
 

@@ -17,12 +17,12 @@ def documents(spark, d):
 
     def item(k):
         return F.struct(
-            F.date_format(F.date_add(ship, k), "yyyy-MM-dd").alias("end"),
+            F.date_add(ship, k).cast("string").alias("end"),
             (F.floor("l_quantity") * 1000 + k).cast("long").alias("val"),
             F.concat_ws("-", "l_orderkey", k.cast("string")).alias("accn"), F.year(ship).alias("fy"),
             F.concat(F.lit("Q"), F.quarter(ship).cast("string")).alias("fp"),
             F.when(F.col("l_returnflag") == "A", "10-K").otherwise("10-Q").alias("form"),
-            F.date_format(F.date_add(ship, k + 30), "yyyy-MM-dd").alias("filed"), F.lit("CY").alias("frame"))
+            F.date_add(ship, k + 30).cast("string").alias("filed"), F.lit("CY").alias("frame"))
 
     items = F.transform(F.sequence(F.lit(1), "l_linenumber"), item)
     units = F.struct(F.when(F.col("l_discount") > 0, items).alias("USD"), F.when(F.col("l_tax") > 0.04, items).alias("shares"))
