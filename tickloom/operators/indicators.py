@@ -49,7 +49,7 @@ def _add_rsi(s: Series, period: int) -> Series:
     s = s.with_columns(_diff=F.col("price") - s.previous("price"))
     s = s.with_columns(_gain=_gain(F.col("_diff")), _loss=_loss(F.col("_diff")))
     s = s.with_columns(_up=s.roll(F.avg, F.col("_gain"), period), _down=s.roll(F.avg, F.col("_loss"), period))
-    return s.with_columns(rsi=F.try_divide(100 * F.col("_up"), F.col("_up") + F.col("_down")))
+    return s.with_columns(rsi=100 * F.try_divide(F.col("_up"), F.col("_up") + F.col("_down")))
 
 
 def _add_bands(s: Series, period: int, deviations: float) -> Series:
@@ -65,7 +65,7 @@ def _add_stochastic(s: Series, k: int, d: int, high: str, low: str) -> Series:
 
 
 def rsi(prices: DataFrame, period: int = 14, **layout) -> DataFrame:
-    """Relative strength index, 100·up/(up+down) of the mean gains and losses; flat frames are missing."""
+    """Relative strength index, 100·(up/(up+down)) of the mean gains and losses; flat frames are missing."""
     return _add_rsi(align(prices, lookback=period, **layout), period).select("date", "symbol", "rsi")
 
 
