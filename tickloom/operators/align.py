@@ -29,15 +29,17 @@ def no_nan(col: Column) -> Column:
 
 
 def calendar(prices: DataFrame, date_col: str = "date") -> DataFrame:
-    """``(date, t)``: the distinct dates with their 0-based position.
+    """``(date, t, n_dates)``: the distinct dates with their 0-based position.
 
-    The numbering window has no partition key. Its input is the distinct day dates, at most one
-    row per day of the DateType range whatever the size of ``prices``.
+    The distinct dates are found in parallel; only they are sorted as one list, which the DateType
+    range bounds at 3.7 million days whatever the size of ``prices``.
     """
     if not isinstance(prices.schema[date_col].dataType, T.DateType):
         raise TypeError(f"{date_col} must be a date column; cast timestamps with to_date first")
     days = prices.select(F.col(date_col).alias("date")).where(F.col("date").isNotNull()).distinct()
-    return days.withColumn("t", (F.row_number().over(Window.orderBy("date")) - 1).cast("long"))
+    listed = days.agg(F.array_sort(F.collect_list("date")).alias("dates"))
+    return listed.select(F.size("dates").cast("long").alias("n_dates"), F.posexplode("dates").alias("t", "date")).select(
+        "date", F.col("t").cast("long").alias("t"), "n_dates")
 
 
 def _block_cells(days: DataFrame, block: int, lookback: int, anchor: bool) -> DataFrame:
@@ -46,9 +48,8 @@ def _block_cells(days: DataFrame, block: int, lookback: int, anchor: bool) -> Da
     The last ``lookback`` dates of a block reappear in the next one; with ``anchor`` the first
     date of the calendar reappears in every block.
     """
-    n = F.max("t").over(Window.partitionBy())
-    placed = days.withColumn("n_blocks", F.floor(n / block).cast("long") + 1).withColumn(
-        "home", F.expr(f"t div {block}"))
+    placed = days.select("date", "t", F.expr(f"t div {block}").alias("home"),
+                         (F.expr(f"(n_dates - 1) div {block}") + 1).alias("n_blocks"))
     tail = (F.col("t") % block >= block - lookback) & (F.col("home") + 1 < F.col("n_blocks"))
     blocks = F.when(tail, F.array("home", F.col("home") + 1)).otherwise(F.array("home"))
     if anchor:

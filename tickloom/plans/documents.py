@@ -6,6 +6,7 @@ from tickloom.operators import nested as ns
 from tickloom.operators import schema_merge as sm
 from tickloom.plans import base as b
 from tickloom.plans.registry import query
+from tickloom.session import spread
 
 ID = ["l_orderkey", "l_linenumber"]
 
@@ -31,7 +32,7 @@ def documents(spark, d):
         F.col("l_returnflag").alias("label"), F.when(F.col("l_linestatus") == "F", "final").alias("description"),
         F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("entityName"), units.alias("units"),
         F.lit("not in the schema").alias("extra"))
-    return b.table(spark, d, "lineitem").select(*ID, "l_suppkey", F.to_json(doc).alias("text"))
+    return spread(b.table(spark, d, "lineitem")).select(*ID, "l_suppkey", F.to_json(doc).alias("text"))
 
 
 UNITS = """items AS (
@@ -153,7 +154,7 @@ def mixed_documents(spark, d):
         F.col("user_id").cast("string"), F.lit(',"name":'), F.when(click, '"n"').otherwise("1"),
         F.when(F.col("value") > 50, ',"rich":true').otherwise(""),
         F.lit('},"shape":'), F.when(click, '{"inner":1}').otherwise("1"), F.lit("}"))
-    return b.table(spark, d, "events").select("event_id", text.alias("text"))
+    return spread(b.table(spark, d, "events")).select("event_id", text.alias("text"))
 
 
 MERGED = """SELECT path, CASE WHEN count(DISTINCT t) = 1 THEN min(t) ELSE 'string' END AS type FROM (

@@ -40,3 +40,13 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, a plain scan, over all cores when its files have fewer splits than there are cores.
+
+    For steps that spend far more time per row than a scan. A large table has more splits than cores
+    and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
