@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession
 
 from tickloom.plans import catalog
+from tickloom.session import clear_scratch
 
 HEADLINE = ["bollinger_bands", "rsi", "stochastic_multi", "indicator_set", "indicator_set_by_supplier", "sharpe",
             "melt_subset", "explode_units", "infer_document_schema", "row_index_by_key", "gramian", "tall_skinny_qr",
@@ -41,6 +42,7 @@ def main():
     print(json.dumps({"metric": "headline queries, sum of median wall seconds", "value": round(sum(seconds.values()), 3),
                       "unit": "sec", "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                       "cpus": int(cpus)}))
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 import __spark_entry__ as entry
 from tests.compare import connect, difference
+from tickloom.session import clear_scratch
 
 
 def main(sf_dir, names):
@@ -32,6 +33,7 @@ def main(sf_dir, names):
             failed.append(name)
         print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - start:.2f}s {problem or note}", flush=True)
     print(f"{len(failed)} failed: {failed}")
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

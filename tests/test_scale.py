@@ -130,7 +130,7 @@ def test_large_matmul_takes_the_split_join(spark, monkeypatch):
     a = spark.createDataFrame([(i, i % 2, float(i)) for i in range(60)], "i long, j long, v double")
     c = spark.createDataFrame([(k, j, float(j + k)) for k in range(2) for j in range(7)], "i long, j long, v double")
     want = table(mx.matmul(a, c))
-    monkeypatch.setattr(mx, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df: False)
     monkeypatch.setattr(skew, "HOT_SHARE", 10)
     monkeypatch.setattr(skew, "MIN_SHARE", 3)
     assert table(mx.matmul(a, c)) == want
@@ -150,8 +150,9 @@ def plan_of(df):
 def test_all_indicators_share_one_exchange(spark):
     px = b.order_prices(spark, SF)
     plan = plan_of(ind.indicator_set(px, rsi_period=14, band_period=20, k=14, d=3))
-    assert plan.count("Exchange hashpartitioning(symbol") - plan.count("ReusedExchange") <= 2
-    assert plan.count("REPARTITION_BY_COL") == 1
+    # one exchange of the observed rows and one of the (symbol, block) list; none above them
+    assert plan.count("REPARTITION_BY_COL") == 2
+    assert "Exchange" not in plan.split("Union")[0]
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
@@ -174,3 +175,31 @@ def test_documents_are_parsed_once(spark):
 def test_no_python_in_the_price_path(spark):
     plan = plan_of(pf.sharpe(b.flag_prices(spark, SF), b.allocations(spark, SF)))
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_full_outer_align_is_one_shuffle_and_checks_keys(spark):
+    a = spark.createDataFrame([(1, 1.0), (2, None)], "date int, a double")
+    c = spark.createDataFrame([(2, 5.0), (3, 6.0)], "date int, b double")
+    out = al.full_outer_align([a, c])
+    assert table(out) == [(1, 1.0, None), (2, None, 5.0), (3, None, 6.0)]
+    assert plan_of(out).count("Exchange hashpartitioning") == 1
+    with pytest.raises(Exception, match="key held twice"):
+        al.full_outer_align([a.unionByName(a), c]).collect()
+
+
+def test_pandas_function_over_blocks(prices):
+    def diff(p):
+        return p.diff()
+
+    assert table(pf.apply_series(prices, diff, 1, block=8)) == table(pf.apply_series(prices, diff, 1))
+
+
+def test_scratch_can_be_cleared(spark):
+    import os
+
+    from tickloom import session
+
+    stored = session.materialize(spark.range(3), "gone")
+    assert stored.count() == 3 and os.path.isdir(session._session_root(spark))
+    session.clear_scratch(spark)
+    assert not os.path.isdir(session._session_root(spark))

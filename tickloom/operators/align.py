@@ -99,8 +99,10 @@ def align(prices: DataFrame, *, value_cols=("price",), symbol_col: str = "symbol
           lookback: int = 0, anchor: bool = False, block: int = BLOCK) -> Series:
     """Lay prices out as calendar × symbols with NULL where a symbol has no row for a date.
 
-    One shuffle: price rows and the (symbol, date) skeleton are hashed by (symbol, block), then
-    merged, sorted and windowed in place. Two rows for one (symbol, date) raise an error.
+    Price rows and the list of (symbol, block) are each hashed by (symbol, block). The skeleton of
+    dates is then generated where its block lies, so the shuffle carries observed rows only, and the
+    merge, the sort and all windows follow without another one. Two rows for one (symbol, date) raise
+    an error.
     """
     block = max(block, 2 * lookback + 2)
     cells = F.broadcast(_block_cells(calendar(prices, date_col), block, lookback, anchor))
@@ -108,17 +110,18 @@ def align(prices: DataFrame, *, value_cols=("price",), symbol_col: str = "symbol
     values = [(no_nan(F.col(c)) if c in doubles else F.col(c)).alias(c) for c in value_cols]
     found = prices.select(F.col(symbol_col).alias("symbol"), F.col(date_col).alias("date"), *values)
 
-    observed = found.join(cells, "date").select("symbol", "blk", "t", "date", F.lit(1).alias("_seen"), *value_cols)
+    observed = (found.join(cells, "date").select("symbol", "blk", "t", "date", F.lit(1).alias("_seen"), *value_cols)
+                .repartition("symbol", "blk"))
     blocks = (found.join(cells, "date").groupBy("symbol").agg(F.max("n_blocks").alias("n_blocks"))
-              .select("symbol", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("blk")))
+              .select("symbol", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("blk"))
+              .repartition("symbol", "blk"))
     types = {f.name: f.dataType for f in found.schema.fields}
     skeleton = blocks.join(cells, "blk").select(
         "symbol", "blk", "t", "date", F.lit(0).alias("_seen"),
         *[F.lit(None).cast(types[c]).alias(c) for c in value_cols])
 
-    merged = (observed.unionByName(skeleton).repartition("symbol", "blk").groupBy("symbol", "blk", "t")
-              .agg(F.max("date").alias("date"), F.sum("_seen").alias("_seen"),
-                   *[F.max(c).alias(c) for c in value_cols]))
+    merged = observed.unionByName(skeleton).groupBy("symbol", "blk", "t").agg(
+        F.max("date").alias("date"), F.sum("_seen").alias("_seen"), *[F.max(c).alias(c) for c in value_cols])
     twice = F.raise_error(F.format_string("two rows for symbol %s on %s", F.col("symbol").cast("string"),
                                           F.col("date").cast("string")))
     checked = merged.select("symbol", "blk", "t", "date",
@@ -141,8 +144,22 @@ def calendar_densify(prices: DataFrame, value_cols=("price",), **names) -> DataF
 
 
 def full_outer_align(tables, key: str = "date") -> DataFrame:
-    """n-way full outer equi-join on ``key`` with the key columns merged into one."""
-    return reduce(lambda left, right: left.join(right, key, "full_outer"), tables)
+    """n-way full outer equi-join on ``key`` with the key columns merged into one.
+
+    Each table holds a key at most once (a second row is an error), so the join is a grouping of
+    their union: one shuffle with map-side combination instead of one per table.
+    """
+    names = [c for t in tables for c in t.columns if c != key]
+    if len(set(names)) != len(names):
+        raise ValueError("the tables share a column besides the key")
+    marked = [t.withColumn(f"_n{i}", F.lit(1)) for i, t in enumerate(tables)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    counts = [f"_n{i}" for i in range(len(tables))]
+    merged = stacked.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in names],
+                                      *[F.sum(n).alias(n) for n in counts])
+    twice = reduce(lambda a, b: a | b, [F.coalesce(F.col(n) > 1, F.lit(False)) for n in counts])
+    error = F.raise_error(F.concat(F.lit("key held twice: "), F.col(key).cast("string")))
+    return merged.select(F.when(twice, error).otherwise(F.col(key)).alias(key), *names)
 
 
 def pivot_wide(prices: DataFrame, symbols, *, key: str = "date", symbol_col: str = "symbol",

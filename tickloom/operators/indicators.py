@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.align import Series, align
+from tickloom.operators.skew import lookup_join
 
 # Defaults of the indicators.
 BAND_PERIOD = 20
@@ -109,7 +110,7 @@ def normalized_price(bars: DataFrame, price_col: str = "close") -> DataFrame:
     The first price is a map-side-combined aggregate of one row per symbol, joined back on symbol.
     """
     first = bars.groupBy("symbol").agg(F.min_by(price_col, "date").alias("_first"))
-    return bars.join(first, "symbol").withColumn("normalized", F.try_divide(price_col, "_first")).drop("_first")
+    return lookup_join(bars, first, "symbol").withColumn("normalized", F.try_divide(price_col, "_first")).drop("_first")
 
 
 def series_long(df: DataFrame, series_cols, ids=("date", "symbol")) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.rows import row_positions
-from tickloom.operators.skew import fits_broadcast, skew_join
+from tickloom.operators.skew import lookup_join, skew_join
+from tickloom.session import materialize
 
 # Widest array row for which one task holds a width × width matrix (8 MiB).
 NARROW = 1024
@@ -196,13 +197,14 @@ def _pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     """Cells of ``a`` beside the cells of ``b`` with the same inner index, as ``(i, j, v, w)``."""
     left = a.select("i", F.col("j").alias("_k"), "v")
     right = b.select(F.col("i").alias("_k"), "j", F.col("v").alias("_w"))
-    if fits_broadcast(right):
-        return left.join(F.broadcast(right), "_k")
-    return skew_join(left, right, "_k")
+    return lookup_join(left, right, "_k")
 
 
 def matmul(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``A·B`` for sparse operands, or dense ones where B is small: join on the inner index and sum."""
+    """``A·B`` for sparse operands, or dense ones where B is small: join on the inner index and sum.
+
+    ``b`` is counted first; ``materialize`` it when it is costly to compute.
+    """
     return _pairs(a, b).groupBy("i", "j").agg(F.sum(F.col("v") * F.col("_w")).alias("v"))
 
 
@@ -375,4 +377,4 @@ def qr_q(cells: DataFrame, r: DataFrame, width: int) -> DataFrame:
         return pd.DataFrame({"i": i, "j": j, "v": inverse[i, j]})
 
     inverse = r.withColumn("whole", F.lit(0)).groupBy("whole").applyInPandas(invert, "i long, j long, v double")
-    return matmul(cells, inverse)
+    return matmul(cells, materialize(inverse, "r_inverse"))

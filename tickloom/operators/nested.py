@@ -7,7 +7,7 @@ Everything here is per document, so it runs where the document lies; only ``unit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.skew import fits_broadcast, skew_join
+from tickloom.operators.skew import lookup_join
 
 # The fields of a company document and of one unit item, in the order of the target schema.
 DOCUMENT_FIELDS = ["cik", "taxonomy", "tag", "label", "description", "entityName"]
@@ -87,11 +87,7 @@ def explode_units(docs: DataFrame, keep=("cik",)) -> DataFrame:
 def units_for_keys(docs: DataFrame, keys: DataFrame, key: str = "cik") -> DataFrame:
     """Units and their number for the documents whose key is in ``keys`` (one row per key)."""
     docs, wanted = docs.select(key, "units"), keys.select(key).distinct()
-    if fits_broadcast(wanted):
-        found = docs.join(F.broadcast(wanted), key)
-    else:
-        found = skew_join(docs, wanted, key, sides=("left",))
-    return found.withColumn("n_units", F.greatest(F.coalesce(F.size("units"), F.lit(0)), F.lit(0)))
+    return lookup_join(docs, wanted, key).withColumn("n_units", F.greatest(F.coalesce(F.size("units"), F.lit(0)), F.lit(0)))
 
 
 def write_scalar_fields(docs: DataFrame, types: dict, *, strict: bool = False) -> DataFrame:
@@ -133,6 +129,6 @@ def build_map(entries: Column) -> Column:
     return F.map_from_entries(F.when(bad, F.raise_error(F.lit("map entry without a key"))).otherwise(pairs))
 
 
-def resolve_field(document: Column, path: str, target: str = "string") -> Column:
-    """One field of a JSON document by path, cast to a type."""
-    return F.get_json_object(document, path).try_cast(target)
+def resolve_field(document: Column, path: str, target: str = "string", resolver=F.get_json_object) -> Column:
+    """One field of a document, cast to a type. ``resolver`` finds it: any (document, path) → Column."""
+    return resolver(document, path).try_cast(target)

@@ -6,6 +6,7 @@ Allocations are rows ``(portfolio_id, symbol, w)``. Frames keep the calendar pos
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.operators.align import Series, align, with_overlap
 from tickloom.operators.skew import fits_broadcast, skew_join
@@ -110,6 +111,23 @@ def apply_columnwise(wide: DataFrame, fn, *, date_col: str = "date") -> DataFram
     return wide.select(date_col, *[fn(F.col(c)).alias(c) for c in wide.columns if c != date_col])
 
 
+def apply_series(prices: DataFrame, fn, lookback: int, **layout) -> DataFrame:
+    """A pandas function over each symbol's aligned prices, for what columns cannot express.
+
+    ``fn`` maps the prices of a block, in calendar order with ``lookback`` rows before it, to as many
+    results; missing prices are NaN. Blocks are bounded, so no task holds a whole series.
+    """
+    s = align(prices, lookback=lookback, **layout)
+
+    def run(pdf):
+        pdf = pdf.sort_values("t", ignore_index=True)
+        return pdf.assign(value=fn(pdf["price"]))
+
+    schema = T.StructType([*s.rows.schema.fields, T.StructField("value", T.DoubleType())])
+    computed = s.rows.groupBy(*s.key, "blk").applyInPandas(run, schema)
+    return Series(computed, s.key, s.lookback, s.block).select("date", "symbol", "value")
+
+
 def log_return(prices: DataFrame, **layout) -> DataFrame:
     """``ln(v[t] / v[t−1])`` per symbol, the usual function handed to a column-wise statistic."""
     s = align(prices, lookback=1, **layout)

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.skew import fits_broadcast
 from tickloom.session import materialize
 
 
@@ -60,6 +61,9 @@ def row_positions(df: DataFrame, order_cols, *, key_cols=(), name: str = "row_in
     parts = stored.groupBy(*key_cols, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_from"))
     before = Window.partitionBy(*key_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(*key_cols, "_part", "_from", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    # without keys there is one row per part; with keys, one per part and key
+    if not key_cols or fits_broadcast(parts):
+        parts = F.broadcast(parts)
     position = (F.col("_before") + F.col("_at") - F.col("_from")).cast("long").alias(name)
     return stored.join(parts, [*key_cols, "_part"]).select(*cols, position)
 

@@ -9,7 +9,10 @@ BROADCAST_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df``, a relation of a few narrow columns, has at most ``rows`` rows (counted by a job)."""
+    """Whether ``df``, a relation of a few narrow columns, has at most ``rows`` rows.
+
+    Counted by a job; ``materialize`` a costly ``df`` first, which makes the count a footer read.
+    """
     return df.count() <= rows
 
 
@@ -46,3 +49,11 @@ def skew_join(left: DataFrame, right: DataFrame, on, sides=("left", "right")) ->
             f"_{side}_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("_salts")
     salts = [f"_{side}_salt" for side in sides]
     return frames["left"].join(frames["right"], [*on, *salts]).drop(*salts)
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
+    """Inner equi-join with a side that is usually small: broadcast when its counted size allows,
+    otherwise shuffled with the hot keys of both sides split."""
+    if fits_broadcast(right):
+        return left.join(F.broadcast(right), on)
+    return skew_join(left, right, on)

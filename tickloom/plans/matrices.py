@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import matrix as mx
 from tickloom.plans import base as b
 from tickloom.plans.registry import query
+from tickloom.session import materialize
 
 WIDTH = 64
 VEC = f"WITH {b.VEC}"
@@ -117,6 +118,10 @@ def transpose(spark, d):
     return mx.transpose(b.vector_cells(spark, d))
 
 
+def _gramian(spark, d):
+    return materialize(mx.gramian(_embeddings(spark, d), "embedding", WIDTH), "gramian")
+
+
 MATMUL = f"""{VEC}, {GRAM}
 SELECT a.i, g.j, ROUND(sum(a.v * g.v), 4) AS v FROM vec a JOIN gram g ON a.j = g.i GROUP BY 1, 2"""
 
@@ -124,13 +129,13 @@ SELECT a.i, g.j, ROUND(sum(a.v * g.v), 4) AS v FROM vec a JOIN gram g ON a.j = g
 @query("matmul", MATMUL)
 def matmul(spark, d):
     """The vectors times their own Gramian."""
-    gram = mx.gramian(_embeddings(spark, d), "embedding", WIDTH)
+    gram = _gramian(spark, d)
     return b.rounded(mx.matmul(b.vector_cells(spark, d), gram), "v", digits=4)
 
 
 @query("matmul_blocked", MATMUL)
 def matmul_blocked(spark, d):
-    gram = mx.gramian(_embeddings(spark, d), "embedding", WIDTH)
+    gram = _gramian(spark, d)
     return b.rounded(mx.matmul_blocked(b.vector_cells(spark, d), gram, 128), "v", digits=4)
 
 
@@ -138,7 +143,7 @@ def matmul_blocked(spark, d):
 SELECT p.i, p.j, ROUND(0.5 * p.v - 2 * vec.v, 4) AS v FROM p JOIN vec ON vec.i = p.i AND vec.j = p.j""")
 def gemm(spark, d):
     cells = b.vector_cells(spark, d)
-    gram = mx.gramian(_embeddings(spark, d), "embedding", WIDTH)
+    gram = _gramian(spark, d)
     return b.rounded(mx.gemm(0.5, cells, gram, -2.0, cells), "v", digits=4)
 
 
@@ -178,7 +183,7 @@ def scal(spark, d):
 @query("rank1_update", f"""{VEC}, {GRAM}, {MEANS}
 SELECT g.i, g.j, ROUND(g.v + 3 * a.v * c.v, 6) AS v FROM gram g JOIN m a ON a.i = g.i JOIN m c ON c.i = g.j""")
 def rank1_update(spark, d):
-    gram = mx.gramian(_embeddings(spark, d), "embedding", WIDTH)
+    gram = _gramian(spark, d)
     return b.rounded(mx.rank1_update(3.0, _column_means(spark, d), gram), "v")
 
 
@@ -199,9 +204,8 @@ GRID = "(SELECT i, unnest(range(0, 10)) AS j FROM (SELECT unnest(range(0, (SELEC
 
 @query("fill_matrix", f"SELECT i, j, 0.0::DOUBLE AS zero, 1.0::DOUBLE AS one FROM {GRID}")
 def fill_matrix(spark, d):
-    shape = (_counted(spark, d), 10)
-    zeros = mx.fill(spark, shape, 0.0).withColumnRenamed("v", "zero")
-    return zeros.join(mx.fill(spark, shape, 1.0).withColumnRenamed("v", "one"), ["i", "j"])
+    zeros = mx.fill(spark, (_counted(spark, d), 10), 0.0).withColumnRenamed("v", "zero")
+    return zeros.withColumn("one", F.lit(1.0))
 
 
 @query("identity_matrix", "SELECT i, i AS j, 1.0::DOUBLE AS v FROM (SELECT unnest(range(0, (SELECT count(*) FROM embeddings))) AS i)")

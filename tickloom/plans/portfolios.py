@@ -94,6 +94,12 @@ def apply_columnwise(spark, d):
     return pf.apply_columnwise(b.wide_prices(spark, d), lambda c: F.round(F.ln(c), 6))
 
 
+@query("apply_series", f"""WITH {b.PX}, {b.PXA}
+SELECT date, symbol, ROUND(price - lag(price) OVER (PARTITION BY symbol ORDER BY t), 6) AS value FROM pxa""")
+def apply_series(spark, d):
+    return b.rounded(pf.apply_series(b.order_prices(spark, d), lambda p: p.diff(), lookback=1), "value")
+
+
 @query("log_return", f"""WITH {b.PX}, {b.PXA}
 SELECT date, symbol, ROUND(ln(price / NULLIF(lag(price) OVER (PARTITION BY symbol ORDER BY t), 0)), 6) AS log_return FROM pxa""")
 def log_return(spark, d):

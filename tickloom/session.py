@@ -26,7 +26,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder; nothing exists there yet."""
-    return f"{shared_folder(spark)}/tickloom/{label}-{uuid.uuid4().hex}"
+    return f"{_session_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _session_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tickloom/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every table this application has put in the shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
