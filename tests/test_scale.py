@@ -203,3 +203,11 @@ def test_scratch_can_be_cleared(spark):
     assert stored.count() == 3 and os.path.isdir(session._session_root(spark))
     session.clear_scratch(spark)
     assert not os.path.isdir(session._session_root(spark))
+
+
+def test_broadcast_size_is_measured(spark):
+    df = spark.range(1000).select("id", F.lit("x" * 100).alias("s"))
+    assert skew.fits_broadcast(df, 1000 * (32 + 100))
+    assert not skew.fits_broadcast(df, 1000 * (32 + 100) - 1)
+    assert not skew.fits_broadcast(df.select(F.array("id")))
+    assert skew.fits_broadcast(df.where("id < 0"))

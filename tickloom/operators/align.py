@@ -105,15 +105,17 @@ def align(prices: DataFrame, *, value_cols=("price",), symbol_col: str = "symbol
     an error.
     """
     block = max(block, 2 * lookback + 2)
-    cells = F.broadcast(_block_cells(calendar(prices, date_col), block, lookback, anchor))
+    days = calendar(prices, date_col)
+    cells = F.broadcast(_block_cells(days, block, lookback, anchor))
+    last_block = days.agg(F.expr(f"(max(n_dates) - 1) div {block}")).scalar()
     doubles = {f.name for f in prices.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     values = [(no_nan(F.col(c)) if c in doubles else F.col(c)).alias(c) for c in value_cols]
     found = prices.select(F.col(symbol_col).alias("symbol"), F.col(date_col).alias("date"), *values)
 
     observed = (found.join(cells, "date").select("symbol", "blk", "t", "date", F.lit(1).alias("_seen"), *value_cols)
                 .repartition("symbol", "blk"))
-    blocks = (found.join(cells, "date").groupBy("symbol").agg(F.max("n_blocks").alias("n_blocks"))
-              .select("symbol", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("blk"))
+    blocks = (found.where(F.col("date").isNotNull()).select("symbol").distinct().withColumn("_last", last_block)
+              .select("symbol", F.explode(F.sequence(F.lit(0).cast("long"), "_last")).alias("blk"))
               .repartition("symbol", "blk"))
     types = {f.name: f.dataType for f in found.schema.fields}
     skeleton = blocks.join(cells, "blk").select(

@@ -2,18 +2,24 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_SHARE = 10_000
 MIN_SHARE = 1_000
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df``, a relation of a few narrow columns, has at most ``rows`` rows.
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of ``df`` take at most ``limit`` bytes: text as long as it is, other values 16 bytes.
 
-    Counted by a job; ``materialize`` a costly ``df`` first, which makes the count a footer read.
+    Measured by a job; ``materialize`` a costly ``df`` first. Nested columns are never called small.
     """
-    return df.count() <= rows
+    kinds = [f.dataType for f in df.schema.fields]
+    if any(isinstance(k, (T.ArrayType, T.MapType, T.StructType)) for k in kinds):
+        return False
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    row_bytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(16 * len(kinds)))
+    return (df.agg(F.sum(row_bytes.cast("long"))).head()[0] or 0) <= limit
 
 
 def _salt_counts(df: DataFrame, on, name: str) -> DataFrame:
