@@ -211,3 +211,8 @@ def test_broadcast_size_is_measured(spark):
     assert not skew.fits_broadcast(df, 1000 * (32 + 100) - 1)
     assert not skew.fits_broadcast(df.select(F.array("id")))
     assert skew.fits_broadcast(df.where("id < 0"))
+
+
+def test_densify_shuffles_observed_rows_only(spark):
+    plan = plan_of(al.calendar_densify(b.order_prices(spark, SF)))
+    assert "Exchange" not in plan.split("Union")[0]

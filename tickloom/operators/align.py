@@ -43,7 +43,7 @@ def calendar(prices: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def _block_cells(days: DataFrame, block: int, lookback: int, anchor: bool) -> DataFrame:
-    """``(date, t, blk, n_blocks)``: each date in its block, and again wherever it is overlap.
+    """``(date, t, blk, own)``: each date in its ``own`` block, and again wherever it is overlap.
 
     The last ``lookback`` dates of a block reappear in the next one; with ``anchor`` the first
     date of the calendar reappears in every block.
@@ -54,12 +54,13 @@ def _block_cells(days: DataFrame, block: int, lookback: int, anchor: bool) -> Da
     blocks = F.when(tail, F.array("home", F.col("home") + 1)).otherwise(F.array("home"))
     if anchor:
         blocks = F.when(F.col("t") == 0, F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).otherwise(blocks)
-    return placed.select("date", "t", F.explode(blocks).alias("blk"), "n_blocks")
+    return placed.select("date", "t", "home", F.explode(blocks).alias("blk")).select(
+        "date", "t", "blk", (F.col("home") == F.col("blk")).alias("own"))
 
 
 @dataclass(frozen=True)
 class Series:
-    """Aligned rows ``(key…, blk, t, date, values…)`` with overlap, plus the windows over them."""
+    """Aligned rows ``(key…, blk, t, own, date, values…)`` with overlap, plus the windows over them."""
 
     rows: DataFrame
     key: tuple
@@ -91,8 +92,7 @@ class Series:
 
     def select(self, *cols) -> DataFrame:
         """The aligned rows without the overlap copies."""
-        own = F.expr(f"t div {self.block}") == F.col("blk")
-        return self.rows.where(own).select(*cols)
+        return self.rows.where("own").select(*cols)
 
 
 def align(prices: DataFrame, *, value_cols=("price",), symbol_col: str = "symbol", date_col: str = "date",
@@ -112,21 +112,21 @@ def align(prices: DataFrame, *, value_cols=("price",), symbol_col: str = "symbol
     values = [(no_nan(F.col(c)) if c in doubles else F.col(c)).alias(c) for c in value_cols]
     found = prices.select(F.col(symbol_col).alias("symbol"), F.col(date_col).alias("date"), *values)
 
-    observed = (found.join(cells, "date").select("symbol", "blk", "t", "date", F.lit(1).alias("_seen"), *value_cols)
+    observed = (found.join(cells, "date").select("symbol", "blk", "t", "own", "date", F.lit(1).alias("_seen"), *value_cols)
                 .repartition("symbol", "blk"))
     blocks = (found.where(F.col("date").isNotNull()).select("symbol").distinct().withColumn("_last", last_block)
               .select("symbol", F.explode(F.sequence(F.lit(0).cast("long"), "_last")).alias("blk"))
               .repartition("symbol", "blk"))
     types = {f.name: f.dataType for f in found.schema.fields}
     skeleton = blocks.join(cells, "blk").select(
-        "symbol", "blk", "t", "date", F.lit(0).alias("_seen"),
+        "symbol", "blk", "t", "own", "date", F.lit(0).alias("_seen"),
         *[F.lit(None).cast(types[c]).alias(c) for c in value_cols])
 
     merged = observed.unionByName(skeleton).groupBy("symbol", "blk", "t").agg(
-        F.max("date").alias("date"), F.sum("_seen").alias("_seen"), *[F.max(c).alias(c) for c in value_cols])
+        F.max("own").alias("own"), F.max("date").alias("date"), F.sum("_seen").alias("_seen"), *[F.max(c).alias(c) for c in value_cols])
     twice = F.raise_error(F.format_string("two rows for symbol %s on %s", F.col("symbol").cast("string"),
                                           F.col("date").cast("string")))
-    checked = merged.select("symbol", "blk", "t", "date",
+    checked = merged.select("symbol", "blk", "t", "own", "date",
                             *[F.when(F.col("_seen") > 1, twice).otherwise(F.col(c)).alias(c) for c in value_cols])
     return Series(checked, ("symbol",), lookback, block)
 
@@ -137,7 +137,8 @@ def with_overlap(rows: DataFrame, key, lookback: int = 1, block: int = BLOCK) ->
     home = F.expr(f"t div {block}")
     tail = F.col("t") % block >= block - lookback
     copies = F.explode(F.when(tail, F.array(home, home + 1)).otherwise(F.array(home)))
-    return Series(rows.withColumn("blk", copies), tuple(key), lookback, block)
+    placed = rows.withColumn("blk", copies).withColumn("own", home == F.col("blk"))
+    return Series(placed, tuple(key), lookback, block)
 
 
 def calendar_densify(prices: DataFrame, value_cols=("price",), **names) -> DataFrame:

@@ -35,13 +35,14 @@ def _value_series(normalized: DataFrame, alloc: DataFrame, lookback: int) -> Ser
     portfolios × dates. Larger allocations are joined by symbol with their hot symbols split.
     Aligned prices hold equally many rows per symbol, so only the allocations can be hot.
     """
-    value = [F.max("date").alias("date"),
+    value = [F.max("date").alias("date"),  # one date per calendar position
              F.when(F.count(F.lit(1)) == F.count("norm"), F.sum(F.col("norm") * F.col("w"))).alias("port_value")]
     if fits_broadcast(alloc):
         cut = with_overlap(normalized, ("portfolio_id",), lookback, DATE_BLOCK)
         tasks = int(normalized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         held = cut.rows.repartition(tasks, "blk").join(F.broadcast(alloc), "symbol")
-        return Series(held.groupBy("portfolio_id", "blk", "t").agg(*value), cut.key, lookback, cut.block)
+        values = held.groupBy("portfolio_id", "blk", "t").agg(F.max("own").alias("own"), *value)
+        return Series(values, cut.key, lookback, cut.block)
     held = skew_join(normalized, alloc, "symbol", sides=("right",))
     return with_overlap(held.groupBy("portfolio_id", "t").agg(*value), ("portfolio_id",), lookback)
 
