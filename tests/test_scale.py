@@ -153,6 +153,7 @@ def test_all_indicators_share_one_exchange(spark):
     # one exchange of the observed rows and one of the (symbol, block) list; none above them
     assert plan.count("REPARTITION_BY_COL") == 2
     assert "Exchange" not in plan.split("Union")[0]
+    assert plan.count("Window [") == 2
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 

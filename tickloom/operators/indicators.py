@@ -4,6 +4,8 @@ Each function takes long prices ``(date, symbol, price)``, handles all symbols i
 keeps every calendar date. ``indicator_set`` computes several indicators over one shared layout.
 """
 
+from itertools import zip_longest
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,55 +48,72 @@ def gains_losses(prices: DataFrame, **layout) -> DataFrame:
     return s.with_columns(gain=_gain(F.col("diff")), loss=_loss(F.col("diff"))).select("date", "symbol", "gain", "loss")
 
 
-def _add_rsi(s: Series, period: int) -> Series:
-    s = s.with_columns(_diff=F.col("price") - s.previous("price"))
-    s = s.with_columns(_gain=_gain(F.col("_diff")), _loss=_loss(F.col("_diff")))
-    s = s.with_columns(_up=s.roll(F.avg, F.col("_gain"), period), _down=s.roll(F.avg, F.col("_loss"), period))
-    return s.with_columns(rsi=100 * F.try_divide(F.col("_up"), F.col("_up") + F.col("_down")))
+# Each indicator below is a list of layers: columns that depend only on the layers before. Applying
+# several indicators layer by layer lets Spark compute all windows of a layer in one pass.
+
+
+def _rsi_layers(s: Series, period: int) -> list:
+    diff, up, down = F.col("_diff"), F.col("_up"), F.col("_down")
+    return [{"_diff": F.col("price") - s.previous("price")},
+            {"_gain": _gain(diff), "_loss": _loss(diff)},
+            {"_up": s.roll(F.avg, F.col("_gain"), period), "_down": s.roll(F.avg, F.col("_loss"), period)},
+            {"rsi": 100 * F.try_divide(up, up + down)}]
+
 
+def _band_layers(s: Series, period: int, deviations: float) -> list:
+    price, sma, sd, top, bottom = (F.col(c) for c in ("price", "sma", "_sd", "top", "bottom"))
+    return [{"sma": s.roll(F.avg, price, period), "_sd": s.roll(F.stddev_samp, price, period)},
+            {"top": sma + deviations * sd, "bottom": sma - deviations * sd},
+            {"bbp": F.try_divide(price - bottom, top - bottom)}]
 
-def _add_bands(s: Series, period: int, deviations: float) -> Series:
-    s = s.with_columns(sma=s.roll(F.avg, F.col("price"), period), _sd=s.roll(F.stddev_samp, F.col("price"), period))
-    s = s.with_columns(top=F.col("sma") + deviations * F.col("_sd"), bottom=F.col("sma") - deviations * F.col("_sd"))
-    return s.with_columns(bbp=F.try_divide(F.col("price") - F.col("bottom"), F.col("top") - F.col("bottom")))
 
+def _stochastic_layers(s: Series, k: int, d: int, high: str = "price", low: str = "price") -> list:
+    price, hi, lo = F.col("price"), F.col("_hi"), F.col("_lo")
+    return [{"_hi": s.roll(F.max, F.col(high), k), "_lo": s.roll(F.min, F.col(low), k)},
+            {"percent_k": 100 * F.try_divide(price - lo, hi - lo)},
+            {"percent_d": s.roll(F.avg, F.col("percent_k"), d)}]
 
-def _add_stochastic(s: Series, k: int, d: int, high: str, low: str) -> Series:
-    s = s.with_columns(_hi=s.roll(F.max, F.col(high), k), _lo=s.roll(F.min, F.col(low), k))
-    s = s.with_columns(percent_k=100 * F.try_divide(F.col("price") - F.col("_lo"), F.col("_hi") - F.col("_lo")))
-    return s.with_columns(percent_d=s.roll(F.avg, F.col("percent_k"), d))
+
+def _apply(s: Series, *indicators: list) -> Series:
+    for layers in zip_longest(*indicators, fillvalue={}):
+        s = s.with_columns(**{name: col for layer in layers for name, col in layer.items()})
+    return s
 
 
 def rsi(prices: DataFrame, period: int = 14, **layout) -> DataFrame:
     """Relative strength index, 100·(up/(up+down)) of the mean gains and losses; flat frames are missing."""
-    return _add_rsi(align(prices, lookback=period, **layout), period).select("date", "symbol", "rsi")
+    s = align(prices, lookback=period, **layout)
+    return _apply(s, _rsi_layers(s, period)).select("date", "symbol", "rsi")
 
 
 def bollinger_bands(prices: DataFrame, period: int = BAND_PERIOD, deviations: float = BAND_DEVIATIONS,
                     **layout) -> DataFrame:
-    s = _add_bands(align(prices, lookback=period - 1, **layout), period, deviations)
+    s = align(prices, lookback=period - 1, **layout)
+    s = _apply(s, _band_layers(s, period, deviations))
     return s.select("date", "symbol", F.col("price").alias("adj_close"), "top", "bottom", "sma")
 
 
 def bollinger_pct(prices: DataFrame, period: int = BAND_PERIOD, deviations: float = BAND_DEVIATIONS,
                   **layout) -> DataFrame:
     """Where the price lies between the bands, 0 at the bottom one; bands of no width are missing."""
-    return _add_bands(align(prices, lookback=period - 1, **layout), period, deviations).select("date", "symbol", "bbp")
+    s = align(prices, lookback=period - 1, **layout)
+    return _apply(s, _band_layers(s, period, deviations)).select("date", "symbol", "bbp")
 
 
 def stochastic(prices: DataFrame, k: int, d: int, *, high_col: str = "price", low_col: str = "price",
                **layout) -> DataFrame:
     """%K and %D for every symbol; the high and low columns default to the price itself."""
     values = tuple(dict.fromkeys(("price", high_col, low_col)))
-    s = _add_stochastic(align(prices, value_cols=values, lookback=k + d - 2, **layout), k, d, high_col, low_col)
+    s = align(prices, value_cols=values, lookback=k + d - 2, **layout)
+    s = _apply(s, _stochastic_layers(s, k, d, high_col, low_col))
     return s.select("date", "symbol", "percent_k", "percent_d", F.col("price").alias("prices"))
 
 
 def indicator_set(prices: DataFrame, *, rsi_period: int, band_period: int, k: int, d: int,
                   deviations: float = BAND_DEVIATIONS, **layout) -> DataFrame:
-    """RSI, bands, %B, %K and %D side by side over one layout and one exchange."""
+    """RSI, bands, %B, %K and %D side by side over one layout, one exchange and two window passes."""
     s = align(prices, lookback=max(rsi_period, band_period - 1, k + d - 2), **layout)
-    s = _add_stochastic(_add_bands(_add_rsi(s, rsi_period), band_period, deviations), k, d, "price", "price")
+    s = _apply(s, _rsi_layers(s, rsi_period), _band_layers(s, band_period, deviations), _stochastic_layers(s, k, d))
     return s.select("date", "symbol", "price", "rsi", "sma", "top", "bottom", "bbp", "percent_k", "percent_d")
 
 
@@ -120,7 +139,8 @@ def series_long(df: DataFrame, series_cols, ids=("date", "symbol")) -> DataFrame
 
 def threshold_overlay(prices: DataFrame, period: int = 14, every: int = MARK_EVERY, **layout) -> DataFrame:
     """RSI with its two reference levels marked on every ``every``-th calendar row."""
-    s = _add_rsi(align(prices, lookback=period, **layout), period)
+    s = align(prices, lookback=period, **layout)
+    s = _apply(s, _rsi_layers(s, period))
     marked = F.col("t") % every == 0
     return s.select("date", "symbol", "rsi", F.when(marked, F.lit(OVERBOUGHT)).alias("overbought"),
                     F.when(marked, F.lit(OVERSOLD)).alias("oversold"))
