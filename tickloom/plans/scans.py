@@ -30,7 +30,8 @@ def _written_lines(spark, df, label, **options):
     return path
 
 
-@query("scan_csv_inferred", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+# inference gives 32-bit integers to columns whose values fit
+@query("scan_csv_inferred", "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def scan_csv_inferred(spark, d):
     return tx.scan_csv_inferred(spark, _written_csv(spark, b.table(spark, d, "customer"), "csv"))
 
@@ -228,13 +229,13 @@ def scan_csv_headerless(spark, d):
     return tx.scan_delimited(spark, path, CUSTOMER_SCHEMA, sep=",")
 
 
-@query("scan_csv_bom", "SELECT c_custkey AS key, c_name AS name FROM customer")
+@query("scan_csv_bom", "SELECT CAST(c_custkey AS INTEGER) AS key, c_name AS name FROM customer")
 def scan_csv_bom(spark, d):
     marked = b.table(spark, d, "customer").select(F.col("c_custkey").alias("﻿key"), F.col("c_name").alias("name"))
     return tx.scan_csv_inferred(spark, _written_csv(spark, marked, "bom"))
 
 
-@query("scan_csv_zero_width", "SELECT c_custkey AS key, c_name AS name FROM customer")
+@query("scan_csv_zero_width", "SELECT CAST(c_custkey AS INTEGER) AS key, c_name AS name FROM customer")
 def scan_csv_zero_width(spark, d):
     marked = b.table(spark, d, "customer").select(F.col("c_custkey").alias("​key"), F.col("c_name").alias("name"))
     return tx.scan_csv_inferred(spark, _written_csv(spark, marked, "zero-width"))

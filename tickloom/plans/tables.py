@@ -301,8 +301,11 @@ def two_digit_year_date(spark, d):
     return b.table(spark, d, "orders").select("o_orderkey", sc.two_digit_year_date(text, "M/d/yy", "2001-12-31").alias("day"))
 
 
+SQL_TYPES = {"timestamp": "TIMESTAMPTZ", "string": "VARCHAR", "binary": "BLOB"}
+
+
 @query("null_value_by_type", "SELECT n_nationkey, " + ", ".join(
-    f"CAST(NULL AS VARCHAR) AS {n.lower()}" for n in sc.TYPE_NAMES) + " FROM nation")
+    f"CAST(NULL AS {SQL_TYPES.get(t, t)}) AS {n.lower()}" for n, t in sc.TYPE_NAMES.items()) + " FROM nation")
 def null_value_by_type(spark, d):
     return b.table(spark, d, "nation").select("n_nationkey", *[sc.null_value(n).alias(n.lower()) for n in sc.TYPE_NAMES])
 

@@ -18,6 +18,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if "dir" not in _LOCAL_BASE:
         _LOCAL_BASE["dir"] = tempfile.mkdtemp(prefix="tickloom-")
         atexit.register(shutil.rmtree, _LOCAL_BASE["dir"], ignore_errors=True)

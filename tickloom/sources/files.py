@@ -30,7 +30,8 @@ def _opener():
 
         from pyarrow import fs
 
-        system, path = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
+        uri = re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/(?!/)", "file:///", uri))
+        system, path = fs.FileSystem.from_uri(uri)
         return system.open_input_file(path)
 
     return open_file
