@@ -289,6 +289,15 @@ def test_merged_lists(spark):
     assert merged(spark, '{"l":[{"x":1}]}', '{"l":[1]}') == {"l": "list", "l[]": "string"}
 
 
+def test_names_with_marks_do_not_collide(spark):
+    assert merged(spark, '{"a.b":1,"a":{"b":"x"},"c[]":true,"c":[2.5]}') == {
+        "`a.b`": "int", "a": "struct", "a.b": "string", "`c[]`": "boolean", "c": "list", "c[]": "double"}
+
+
+def test_texts_that_are_not_documents_add_nothing(spark):
+    assert merged(spark, '{"a":1}', "{", "[1]", "7") == {"a": "int"}
+
+
 def test_schema_reads_the_documents(spark):
     texts = ['{"a":1,"b":{"x":1},"l":[{"q":1}]}', '{"a":2,"b":{"y":"s"},"l":[]}']
     df = spark.createDataFrame(list(enumerate(texts)), "k long, t string").where("k = 0 or k = 1")

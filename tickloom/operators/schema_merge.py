@@ -5,8 +5,10 @@ null or unknown value counts as text); a list has the type of its first element,
 list of text; a field of two types becomes text, a list of two element types a list of text; structs
 are merged field by field, but among lists of structs the first document's struct wins.
 
-A schema is held as rows ``(path, type)``: ``a.b`` for field b of a, ``a[]`` for the elements of a.
-Merging is then a grouping by path, so neither the documents nor their shapes meet on the driver.
+A schema is held as rows ``(path, type)``: ``a.b`` for field b of a, ``a[]`` for the elements of a, names
+with other marks in backquotes. Merging is then a grouping by path, so neither the documents nor their
+shapes meet on the driver. Texts that are not JSON objects have no schema and add nothing; they are the
+rows ``nested.failed_rows`` returns.
 """
 
 from pyspark.sql import DataFrame
@@ -21,7 +23,11 @@ WRAPPED = {"$numberLong": "long", "$numberInt": "int", "$numberDouble": "double"
            "$timestamp": "timestamp", "$oid": "string", "$numberDecimal": "string"}
 
 
-def _path_types(scalars, wrapped):
+# A path is kept as its steps joined by one separator; a list's elements are a step of their own.
+_STEP, _ELEMENTS = "\u0001", "\u0002"
+
+
+def _path_types(scalars, wrapped, step, elements):
     """Reader of one parsed document: ``[(path, type, struct type of list elements)]``."""
 
     def kind(value):
@@ -42,38 +48,48 @@ def _path_types(scalars, wrapped):
         if k == "list":
             return f"array<{full_type(value[0]) if value else 'string'}>"
         if k == "struct":
-            return "struct<" + ",".join(f"`{f}`:{full_type(v)}" for f, v in value.items()) + ">"
+            return "struct<" + ",".join(f"{quoted(f)}:{full_type(v)}" for f, v in value.items()) + ">"
         return scalars[k]
 
+    def quoted(name):
+        return "`" + name.replace("`", "``") + "`"
+
     def paths(path, value):
         k = kind(value)
-        if path.endswith("[]") and k == "struct":
-            yield path, k, full_type(value)
+        if path and path[-1] == elements and k == "struct":
+            yield step.join(path), k, full_type(value)
             return
         if path:
-            yield path, k, ""
+            yield step.join(path), k, ""
         if k == "list":
-            yield from paths(path + "[]", value[0] if value else "")
+            yield from paths((*path, elements), value[0] if value else "")
         elif k == "struct":
             for f, v in value.items():
-                yield from paths(f"{path}.{f}" if path else f, v)
+                yield from paths((*path, f), v)
 
     return paths
 
 
 def document_paths(df: DataFrame, key_col: str, text_col: str) -> DataFrame:
     """``(path, type, element, first_key)`` found in the documents, reduced within each Arrow batch."""
-    paths = _path_types(SCALARS, WRAPPED)
+    paths = _path_types(SCALARS, WRAPPED, _STEP, _ELEMENTS)
 
-    def read(frames):
+    def document(text):
         import json
 
+        try:
+            parsed = json.loads(text)
+        except ValueError:
+            return {}
+        return parsed if isinstance(parsed, dict) else {}
+
+    def read(frames):
         import pandas as pd
 
         for frame in frames:
             first = {}
             for key, text in zip(frame["k"], frame["t"]):
-                for found in paths("", json.loads(text)):
+                for found in paths((), document(text)):
                     if found not in first or key < first[found]:
                         first[found] = key
             yield pd.DataFrame([(*found, key) for found, key in first.items()],
@@ -84,7 +100,7 @@ def document_paths(df: DataFrame, key_col: str, text_col: str) -> DataFrame:
 
 
 def merge_paths(found: DataFrame) -> DataFrame:
-    """One type per path: ``(path, type, element)``.
+    """One type per path: ``(path, type, element, steps)``.
 
     Paths below one that became text are dropped with it.
     """
@@ -94,37 +110,46 @@ def merge_paths(found: DataFrame) -> DataFrame:
     agreed = F.col("_low") == F.col("_high")
     merged = merged.select("path", F.when(agreed, F.col("_low")).otherwise("string").alias("type"),
                            F.when(agreed, F.col("element")).otherwise("").alias("element"), (~agreed).alias("_mixed"))
-    # every proper prefix of a path that ends before a '.' or a '[]'
-    steps = F.split(F.regexp_replace("path", r"(\.|\[\])", "\u0001$1"), "\u0001")
-    above = F.transform(F.sequence(F.lit(1), F.size(steps) - 1),
-                        lambda n: F.array_join(F.slice(steps, 1, n), ""))
+    steps = F.split("path", _STEP)
+    above = F.transform(F.sequence(F.lit(1), F.size(steps) - 1), lambda n: F.array_join(F.slice(steps, 1, n), _STEP))
     ancestors = merged.where(F.size(steps) > 1).select("path", F.explode(above).alias("_above"))
     closed = merged.where("_mixed").select(F.col("path").alias("_above"))
     cut = ancestors.join(closed, "_above", "left_semi").select("path").distinct()
-    return merged.join(cut, "path", "left_anti").select("path", "type", "element")
+    return merged.join(cut, "path", "left_anti").select(_shown(steps).alias("path"), "type", "element", steps.alias("steps"))
+
+
+def _shown(steps):
+    """Steps as text: ``a.b``, ``a[]``, and backquotes around names that hold a mark."""
+    tick = F.lit("`")
+
+    def name(s):
+        return F.when(s.rlike(r"^\w+$"), s).otherwise(F.concat(tick, F.replace(s, tick, F.lit("``")), tick))
+
+    parts = F.transform(steps, lambda s, i: F.when(s == _ELEMENTS, F.lit("[]")).when(i == 0, name(s)).otherwise(
+        F.concat(F.lit("."), name(s))))
+    return F.array_join(parts, "")
 
 
 def infer_schema(df: DataFrame, key_col: str, text_col: str) -> DataFrame:
-    """Merged schema of all documents as ``(path, type, element)``."""
+    """Merged schema of all documents as ``(path, type, element, steps)``."""
     return merge_paths(document_paths(df, key_col, text_col))
 
 
 def schema_of(merged: DataFrame) -> T.StructType:
     """The merged paths as a Spark schema, for ``from_json``. Reads one row per path of the schema."""
-    rows = {r["path"]: r for r in merged.collect()}
+    rows = {tuple(r["steps"]): r for r in merged.collect()}
 
     def build(path):
         row = rows[path]
         if row["type"] == "list":
-            return f"array<{build(path + '[]')}>"
+            return f"array<{build((*path, _ELEMENTS))}>"
         if row["type"] == "struct":
             return row["element"] or struct_of(path)
         return SCALARS[row["type"]]
 
     def struct_of(path):
-        prefix = f"{path}." if path else ""
-        fields = sorted(p for p in rows if p.startswith(prefix) and p != path
-                        and "." not in p[len(prefix):] and "[]" not in p[len(prefix):])
-        return "struct<" + ",".join(f"`{p[len(prefix):]}`:{build(p)}" for p in fields) + ">"
+        fields = sorted(p for p in rows if len(p) == len(path) + 1 and p[:-1] == path)
+        named = ["`" + p[-1].replace("`", "``") + "`:" + build(p) for p in fields]
+        return "struct<" + ",".join(named) + ">"
 
-    return T._parse_datatype_string(struct_of(""))
+    return T._parse_datatype_string(struct_of(()))

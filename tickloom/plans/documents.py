@@ -26,13 +26,14 @@ def documents(spark, d):
             F.date_add(ship, k + 30).cast("string").alias("filed"), F.lit("CY").alias("frame"))
 
     items = F.transform(F.sequence(F.lit(1), "l_linenumber"), item)
-    units = F.struct(F.when(F.col("l_discount") > 0, items).alias("USD"), F.when(F.col("l_tax") > 0.04, items).alias("shares"))
+    units = F.struct(F.when(F.col("l_discount") > 0, F.col("items")).alias("USD"),
+                     F.when(F.col("l_tax") > 0.04, F.col("items")).alias("shares"))
     doc = F.struct(
         F.col("l_partkey").alias("cik"), F.lit("us-gaap").alias("taxonomy"), F.lit("Assets").alias("tag"),
         F.col("l_returnflag").alias("label"), F.when(F.col("l_linestatus") == "F", "final").alias("description"),
         F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("entityName"), units.alias("units"),
         F.lit("not in the schema").alias("extra"))
-    return spread(b.table(spark, d, "lineitem")).select(*ID, "l_suppkey", F.to_json(doc).alias("text"))
+    return spread(b.table(spark, d, "lineitem")).withColumn("items", items).select(*ID, "l_suppkey", F.to_json(doc).alias("text"))
 
 
 UNITS = """items AS (
@@ -176,7 +177,7 @@ def infer_document_schema(spark, d):
 WHERE path NOT LIKE '%[]'  OR path = 'pairs[]'""")
 def merge_schemas(spark, d):
     merged = sm.merge_paths(sm.document_paths(mixed_documents(spark, d), "event_id", "text"))
-    return merged.where(~F.col("path").endswith("[]") | (F.col("path") == "pairs[]"))
+    return merged.where(~F.col("path").endswith("[]") | (F.col("path") == "pairs[]")).drop("steps")
 
 
 @query("merge_list_schemas", f"""WITH m AS ({MERGED}) SELECT replace(path, '[]', '') AS field, 'array<' || CASE WHEN path = 'pairs[]'
