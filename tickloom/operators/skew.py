@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_SHARE = 10_000
+HOT_SHARE = 100_000
 MIN_SHARE = 1_000
 BROADCAST_BYTES = 64 << 20
 
@@ -33,7 +33,7 @@ def _salt_counts(df: DataFrame, on, name: str) -> DataFrame:
 def skew_join(left: DataFrame, right: DataFrame, on, sides=("left", "right")) -> DataFrame:
     """Inner equi-join in which no key's pairs land in one task.
 
-    A key is hot on a side when it holds more than 1/10,000 of that side's rows. So at most 10,000
+    A key is hot on a side when it holds more than 1/100,000 of that side's rows. So at most 100,000
     keys per side are hot; the table of hot keys has that fixed bound and is broadcast. The rows of a
     hot key are dealt over salts by a hash of the row, and the other side's rows of that key are
     copied once per salt: one copy for at least a thousand pairs. Other keys keep one copy under
