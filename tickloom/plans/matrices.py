@@ -199,6 +199,13 @@ def elementwise_div(spark, d):
     return b.rounded(mx.elementwise_div(cells, _next(cells)), "v")
 
 
+@query("elementwise_mul_div", f"""{NEXT} SELECT i, j, ROUND(vec.v * nxt.v / NULLIF(nxt.v, 0), 6) AS v FROM vec JOIN nxt USING (i, j)""")
+def elementwise_mul_div(spark, d):
+    """The product with the next vectors, divided by them again."""
+    cells = b.vector_cells(spark, d)
+    return b.rounded(mx.elementwise_div(mx.elementwise_mul(cells, _next(cells)), _next(cells)), "v")
+
+
 GRID = "(SELECT i, unnest(range(0, 10)) AS j FROM (SELECT unnest(range(0, (SELECT count(*) FROM embeddings))) AS i))"
 
 
