@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact, mixing
+from tickloom.llm import counting, exact, mixing, packing
 from tickloom.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -44,3 +44,29 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
   doc_id IS NOT DISTINCT FROM min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""")
 def op10(spark, d):
     return exact.duplicate_report(documents(spark, d)).withColumnRenamed("id", "doc_id")
+
+
+@query("op7_power_of_two_packing")
+def op7(spark, d):
+    return packing.pack(documents(spark, d)).select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def derived_edits():
+    """Three edits of every document that follow from its own row: a title line put in front, forty characters
+    replaced somewhere within, and the language appended."""
+    n = F.length(F.coalesce("text", F.lit(""))).cast("long")
+    inner = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), n + 1)
+    edits = [(F.lit(0), F.lit(0), F.concat(F.coalesce("source", F.lit("none")), F.lit("\n"))),
+             (inner, F.lit(40), F.coalesce(F.substring("text", 3, 25), F.lit("x"))),
+             (n, F.lit(0), F.concat(F.lit(" "), F.coalesce("lang", F.lit("none"))))]
+    return F.array(*[F.struct(a.cast("long").alias("at"), d.cast("long").alias("drop"), p.alias("put")) for a, d, p in edits])
+
+
+@query("op5_edit_aware_token_counts")
+def op5(spark, d):
+    trees = counting.build_trees(documents(spark, d), "doc_id", "text", derived_edits().alias("edits"))
+    done = counting.apply_edits(trees)
+    return done.select(F.col("id").alias("doc_id"), F.col("n_before").alias("n_tokens"),
+                       F.element_at("counts", 2).alias("n_tokens_after"), F.length("text").cast("long").alias("n_chars_after"),
+                       "encoded_chars")

@@ -1,7 +1,7 @@
 """Whole-batch text work in numpy: words, rolling hashes and runs over the bytes of an Arrow column.
 
 Everything here works on one slice of a task's rows. A slice holds whole texts of at most
-``SLICE_BYTES``, or one text that is longer.
+``SLICE_BYTES`` together, or one text that is longer.
 """
 
 import numpy as np
@@ -32,7 +32,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """``base ** 0 … base ** (n - 1)`` modulo 2**64, kept between calls."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, 2 * (len(have) if have is not None else 0), SLICE_BYTES + 1)
         have = np.full(size, base, np.uint64)
         have[0] = 1
         _powers[int(base)] = have = np.multiply.accumulate(have)
@@ -49,7 +49,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def slices(column: pa.Array):
+def slices(column: pa.Array, limit: int = SLICE_BYTES):
     """``(first row, bytes, offsets)`` for runs of rows of a string column; a missing text is empty.
 
     ``offsets`` has one entry more than the run has rows and starts at 0.
@@ -64,7 +64,7 @@ def slices(column: pa.Array):
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        stop = max(row + 1, int(np.searchsorted(offs, offs[row] + SLICE_BYTES, "right")) - 1)
+        stop = max(row + 1, int(np.searchsorted(offs, offs[row] + limit, "right")) - 1)
         stop = min(stop, len(column))
         yield row, data[offs[row]:offs[stop]], offs[row:stop + 1] - offs[row]
         row = stop
