@@ -24,7 +24,7 @@ from tickloom.llm.common import lookup
 from tickloom.session import materialize
 
 MAX_EPOCHS = 3
-BLOCK_ROWS = 50_000
+BLOCK_ROWS = 5_000
 SEED = "mix-1"
 BLANKS = " \t\n\x0b\x0c\r"
 WORD_AND_BLANKS = r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
