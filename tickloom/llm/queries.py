@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tickloom.llm import counting, exact, mixing, packing
+from tickloom.llm import counting, exact, licenses, mixing, packing, secrets
 from tickloom.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -70,3 +70,13 @@ def op5(spark, d):
     return done.select(F.col("id").alias("doc_id"), F.col("n_before").alias("n_tokens"),
                        F.element_at("counts", 2).alias("n_tokens_after"), F.length("text").cast("long").alias("n_chars_after"),
                        "encoded_chars")
+
+
+@query("op1_license_scan")
+def op1(spark, d):
+    return licenses.summary(licenses.scan(documents(spark, d))).withColumnRenamed("id", "doc_id")
+
+
+@query("op9_secret_scan")
+def op9(spark, d):
+    return secrets.summary(secrets.scan(documents(spark, d))).withColumnRenamed("id", "doc_id")
