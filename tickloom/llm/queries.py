@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tickloom.llm import counting, exact, licenses, mixing, packing, secrets
+from tickloom.llm import counting, exact, licenses, mixing, packing, quality, secrets
 from tickloom.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -80,3 +80,12 @@ def op1(spark, d):
 @query("op9_secret_scan")
 def op9(spark, d):
     return secrets.summary(secrets.scan(documents(spark, d))).withColumnRenamed("id", "doc_id")
+
+
+@query("op6_quality_classifier")
+def op6(spark, d):
+    table = quality.feature_table(documents(spark, d))
+    model = quality.fit(table, spark.read.parquet(f"{d}/labels.parquet"))
+    return quality.score_table(table, model).select(
+        F.col("id").alias("doc_id"), quality.held_out(F.col("id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
