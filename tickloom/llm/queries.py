@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tickloom.llm import counting, exact, licenses, mixing, packing, quality, secrets
+from tickloom.llm import counting, exact, licenses, minhash, mixing, packing, quality, secrets
 from tickloom.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -89,3 +89,9 @@ def op6(spark, d):
     return quality.score_table(table, model).select(
         F.col("id").alias("doc_id"), quality.held_out(F.col("id")).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op2_minhash_near_duplicates")
+def op2(spark, d):
+    found = minhash.near_duplicates(documents(spark, d), width=3, percent=85)
+    return found.withColumnRenamed("id", "doc_id")
