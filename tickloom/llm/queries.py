@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tickloom.llm import counting, exact, licenses, minhash, mixing, packing, quality, secrets
+from tickloom.llm import counting, exact, licenses, minhash, mixing, packing, quality, secrets, substring
 from tickloom.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -95,3 +95,9 @@ def op6(spark, d):
 def op2(spark, d):
     found = minhash.near_duplicates(documents(spark, d), width=3, percent=85)
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query("op3_substring_dedup")
+def op3(spark, d):
+    return substring.remove_repeats(documents(spark, d)).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
