@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tickloom.llm import counting, exact, licenses, minhash, mixing, packing, quality, secrets, substring
+from tickloom.llm import counting, exact, licenses, minhash, mixing, neighbours, packing, quality, secrets, substring
 from tickloom.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -101,3 +101,9 @@ def op2(spark, d):
 def op3(spark, d):
     return substring.remove_repeats(documents(spark, d)).select(
         F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_nn_descent_search")
+def op8(spark, d):
+    found = neighbours.nearest(spark.read.parquet(f"{d}/embeddings.parquet"), F.col("id") % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
