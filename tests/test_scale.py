@@ -80,8 +80,7 @@ def test_timestamps_are_refused(spark):
 
 @pytest.mark.parametrize("sides", [("left", "right"), ("left",), ("right",)])
 def test_skew_join_equals_plain_join(spark, monkeypatch, sides):
-    monkeypatch.setattr(skew, "HOT_SHARE", 10)
-    monkeypatch.setattr(skew, "MIN_SHARE", 3)
+    monkeypatch.setattr(skew, "SALT_ROWS", 3)
     rnd = random.Random(5)
     left = spark.createDataFrame([(rnd.choice([1, 1, 1, 2, 3, 9]), x) for x in range(200)], "k int, x int")
     right = spark.createDataFrame([(rnd.choice([1, 1, 2, 4]), y) for y in range(60)], "k int, y int")
@@ -131,8 +130,7 @@ def test_large_matmul_takes_the_split_join(spark, monkeypatch):
     c = spark.createDataFrame([(k, j, float(j + k)) for k in range(2) for j in range(7)], "i long, j long, v double")
     want = table(mx.matmul(a, c))
     monkeypatch.setattr(skew, "fits_broadcast", lambda df: False)
-    monkeypatch.setattr(skew, "HOT_SHARE", 10)
-    monkeypatch.setattr(skew, "MIN_SHARE", 3)
+    monkeypatch.setattr(skew, "SALT_ROWS", 3)
     assert table(mx.matmul(a, c)) == want
 
 

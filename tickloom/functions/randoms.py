@@ -2,6 +2,7 @@
 
 A digest of (seed, key) gives two independent 52-bit uniforms. The value of a row is therefore the
 same whatever the partitioning, and a task that runs again after an executor is lost repeats it.
+Columns drawn with the same seed and keys are the same draw; give each its own ``stream``.
 """
 
 import math

@@ -15,6 +15,7 @@ from tickloom.session import materialize
 
 # Widest array row for which one task holds a width × width matrix (8 MiB).
 NARROW = 1024
+FAN_IN = 32
 
 
 def _index_names(shape) -> list:
@@ -219,8 +220,9 @@ def matmul_blocked(a: DataFrame, b: DataFrame, block: int = 512) -> DataFrame:
     right = b.select(F.expr(f"i div {block}").alias("bk"), F.expr(f"j div {block}").alias("bj"),
                      F.col("i").alias("k"), F.col("j").alias("c"), F.col("v").alias("w"))
     group = ["bi", "bk", "bj"]
-    spread_left = skew_join(left, right.select("bk", "bj").distinct(), "bk")
-    spread_right = skew_join(right, left.select("bk", "bi").distinct(), "bk")
+    # columns under new names of their own, since the two joined tables meet again in the cogroup
+    spread_left = skew_join(left, right.select(F.col("bk").alias("bk"), F.col("bj").alias("bj")).distinct(), "bk")
+    spread_right = skew_join(right, left.select(F.col("bk").alias("bk"), F.col("bi").alias("bi")).distinct(), "bk")
 
     def multiply(key, x, y):
         import numpy as np
@@ -228,12 +230,13 @@ def matmul_blocked(a: DataFrame, b: DataFrame, block: int = 512) -> DataFrame:
 
         bi, bk, bj = (int(k) for k in key)
         m, n = np.zeros((block, block)), np.zeros((block, block))
-        m[x["i"] - bi * block, x["j"] - bk * block] = x["v"]
-        n[y["k"] - bk * block, y["c"] - bj * block] = y["w"]
-        rows, cols = np.unique(x["i"] - bi * block), np.unique(y["c"] - bj * block)
-        product = m[rows] @ n[:, cols]
-        return pd.DataFrame({"i": np.repeat(rows + bi * block, len(cols)), "j": np.tile(cols + bj * block, len(rows)),
-                             "v": product.ravel()})
+        at, to = (x["i"] - bi * block, x["j"] - bk * block), (y["k"] - bk * block, y["c"] - bj * block)
+        np.add.at(m, at, x["v"])  # a cell that is held twice counts twice, as in matmul
+        np.add.at(n, to, y["w"])
+        here, there = np.zeros((block, block)), np.zeros((block, block))
+        here[at], there[to] = 1, 1
+        i, j = np.nonzero(here @ there)  # cells with an inner index that both operands hold
+        return pd.DataFrame({"i": i + bi * block, "j": j + bj * block, "v": (m @ n)[i, j]})
 
     partial = (spread_left.groupBy(*group).cogroup(spread_right.groupBy(*group))
                .applyInPandas(multiply, "i long, j long, v double"))
@@ -281,10 +284,15 @@ def _checked_width(width: int):
 def gramian(rows: DataFrame, vector_col: str, width: int) -> DataFrame:
     """``AᵀA`` as cells for a matrix of any number of array rows with ``width`` values each.
 
-    Each task reduces its rows to one width × width triangle before anything is shuffled. Wider
-    matrices go through ``gramian_cells``.
+    Up to ``NARROW`` values a row, each task reduces its rows to one width × width triangle before anything is
+    shuffled; wider ones are multiplied block by block with the same result. A missing row or a row of another length
+    is an error.
     """
-    _checked_width(width)
+    right = F.col(vector_col).isNotNull() & (F.size(vector_col) == width)
+    if width > NARROW:
+        value = F.when(right, F.col(vector_col).cast("array<double>")).otherwise(F.raise_error(F.lit(f"row without {width} values")))
+        checked = rows.select(F.monotonically_increasing_id().alias("i"), value.alias("v"))
+        return gramian_cells(materialize(checked.select("i", F.posexplode("v").alias("j", "v")).withColumn("j", F.col("j").cast("long")), "wide-rows"))
 
     def partial(batches):
         import numpy as np
@@ -294,7 +302,7 @@ def gramian(rows: DataFrame, vector_col: str, width: int) -> DataFrame:
         total = np.zeros((width, width))
         for batch in batches:
             vectors = batch.column(0)
-            if not pc.all(pc.equal(pc.list_value_length(vectors), width)).as_py() and len(vectors):
+            if len(vectors) and (vectors.null_count or not pc.all(pc.equal(pc.list_value_length(vectors), width)).as_py()):
                 raise ValueError(f"row without {width} values")
             x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             total += x.T @ x
@@ -330,23 +338,32 @@ def qr_r(rows: DataFrame, vector_col: str, width: int) -> DataFrame:
     """The R of a tall-skinny QR as cells ``(i, j, v)`` of its upper triangle, with diag(R) > 0.
 
     Each task folds its rows into one triangular factor; the factors are then stacked and folded
-    again in three rounds (by 4096, 64 and 1 groups), so no group holds more than a share of them.
+    again, at most ``FAN_IN`` at a time. A missing row or a row of another length is an error; a
+    matrix with fewer rows than columns gives zero rows at the end.
     """
     _checked_width(width)
 
     def fold(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         r = np.zeros((0, width))
         for batch in batches:
-            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            vectors = batch.column(0)
+            if len(vectors) and (vectors.null_count or not pc.all(pc.equal(pc.list_value_length(vectors), width)).as_py()):
+                raise ValueError(f"row without {width} values")
+            x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             r = np.linalg.qr(np.vstack([r, x]), mode="r")
         yield pa.RecordBatch.from_arrays([pa.array(list(r), pa.list_(pa.float64()))], names=["r"])
 
     factors = rows.select(F.col(vector_col).cast("array<double>")).mapInArrow(fold, "r array<double>")
     factors = factors.withColumn("part", F.spark_partition_id().cast("long"))
-    for groups in (4096, 64, 1):
+    rounds, groups = [], rows.rdd.getNumPartitions()
+    while groups > 1:
+        groups = -(-groups // FAN_IN)
+        rounds.append(groups)
+    for groups in rounds or [1]:
         factors = factors.withColumn("part", F.col("part") % groups).groupBy("part").applyInPandas(
             _stack_r(width), "part long, r array<double>")
 
@@ -355,6 +372,7 @@ def qr_r(rows: DataFrame, vector_col: str, width: int) -> DataFrame:
         import pandas as pd
 
         r = np.stack(pdf["r"].to_numpy())
+        r = np.vstack([r, np.zeros((width - len(r), width))])  # fewer rows than columns
         r = r * np.where(np.diag(r) < 0, -1.0, 1.0)[:, None]
         i, j = np.triu_indices(width)
         return pd.DataFrame({"i": i, "j": j, "v": r[i, j]})
@@ -372,6 +390,9 @@ def qr_q(cells: DataFrame, r: DataFrame, width: int) -> DataFrame:
 
         m = np.zeros((width, width))
         m[pdf["i"], pdf["j"]] = pdf["v"]
+        size = np.abs(np.diag(m))
+        if size.min() <= size.max() * width * np.finfo(float).eps:
+            raise ValueError("the matrix has no full column rank, its Q is not unique")
         inverse = np.linalg.inv(m)
         i, j = np.triu_indices(width)
         return pd.DataFrame({"i": i, "j": j, "v": inverse[i, j]})

@@ -14,20 +14,25 @@ DOCUMENT_FIELDS = ["cik", "taxonomy", "tag", "label", "description", "entityName
 UNIT_TEXT_FIELDS = ["accn", "form", "fp", "fy", "type"]
 UNIT_DATE_FIELDS = ["end", "filed"]
 
-_ITEM = "struct<end:string, val:bigint, accn:string, fy:string, fp:string, form:string, filed:string>"
+_ITEM = "struct<end:string, val:string, accn:string, fy:string, fp:string, form:string, filed:string>"
 DOCUMENT_SCHEMA = ", ".join(f"{f} string" for f in DOCUMENT_FIELDS) + f", units map<string, array<{_ITEM}>>"
 _CORRUPT = "_corrupt"
 
 
 def parse_documents(df: DataFrame, text_col: str) -> DataFrame:
-    """``df`` with the parsed ``doc`` beside the text; ``_corrupt`` holds the text that failed.
+    """``df`` with the parsed ``doc`` beside the text; ``_corrupt`` holds a text that is not a JSON object.
+
+    Scalars are read as text, so a number of another kind stays as it is written; a list or map field that holds
+    something else is missing, and the document stays.
 
     The parse is generated as a one-element list: Spark would copy a plain ``from_json`` into every
     later filter and field access, and parse each text that many times.
     """
     schema = f"{DOCUMENT_SCHEMA}, {_CORRUPT} string"
     doc = F.from_json(text_col, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    return df.select("*", F.explode(F.array(doc)).alias("doc")).withColumn(_CORRUPT, F.col(f"doc.{_CORRUPT}"))
+    text = F.col(f"doc.{_CORRUPT}")
+    an_object = F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
+    return df.select("*", F.explode(F.array(doc)).alias("doc")).withColumn(_CORRUPT, F.when(text.isNotNull() & ~an_object, text))
 
 
 def drop_failed_rows(parsed: DataFrame) -> DataFrame:
@@ -62,13 +67,22 @@ def replace_key(docs: DataFrame, requested: Column, key: str = "cik") -> DataFra
     return docs.withColumn(key, requested.cast("string"))
 
 
+def whole_number(text: Column) -> Column:
+    """The long that ``text`` writes, also as ``7.0``; missing for anything else."""
+    number = text.try_cast("decimal(38,10)")
+    return F.coalesce(text.try_cast("long"), F.when(number == F.floor(number), number.try_cast("long")))
+
+
 def write_units_struct(docs: DataFrame) -> DataFrame:
-    """List elements in the target schema: text, ISO dates as dates, ``val`` as a long; null elements skipped."""
+    """List elements in the target schema: text, ISO dates as dates, ``val`` as a long; null elements skipped.
+
+    A date or number that cannot be read is missing, its element stays.
+    """
 
     def item(u):
         text = [u[f].cast("string").alias(f) for f in UNIT_TEXT_FIELDS]
-        dates = [F.to_date(u[f], "yyyy-MM-dd").alias(f) for f in UNIT_DATE_FIELDS]
-        return F.struct(*text, *dates, u["val"].cast("long").alias("val"))
+        dates = [F.try_to_date(u[f], "yyyy-MM-dd").alias(f) for f in UNIT_DATE_FIELDS]
+        return F.struct(*text, *dates, whole_number(u["val"]).alias("val"))
 
     return docs.withColumn("units", F.transform(F.array_compact("units"), item))
 
@@ -100,7 +114,7 @@ def write_scalar_fields(docs: DataFrame, types: dict, *, strict: bool = False) -
     failed = {f: F.col(f).isNotNull() & F.col(f).try_cast(t).isNull() for f, t in types.items()}
     if strict:
         def value(f):
-            message = F.concat(F.lit(f"Unable to set value for field {f} using value "), F.col(f).cast("string"))
+            message = F.concat(F.lit(f"{f}: cannot be read as {types[f]}: "), F.col(f).cast("string"))
             return F.when(failed[f], F.raise_error(message)).otherwise(F.col(f).try_cast(types[f])).alias(f)
 
         return docs.select(*rest, *[value(f) for f in types])

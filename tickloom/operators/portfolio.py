@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tickloom.operators.align import Series, align, with_overlap
 from tickloom.operators.skew import fits_broadcast, skew_join
+from tickloom.session import materialize
 
 # Fixed value: trading days in a year.
 TRADING_DAYS = 252
@@ -27,6 +28,19 @@ def normalize_prices(prices: DataFrame, **layout) -> DataFrame:
     return s.with_columns(norm=F.try_divide("price", s.first("price"))).select("date", "symbol", "t", "norm")
 
 
+def _with_unknown(normalized: DataFrame, alloc: DataFrame) -> DataFrame:
+    """Allocations to symbols without any price, turned into a missing weight on some symbol that has prices.
+
+    Such a holding then meets every date and makes the portfolio's value missing there, instead of falling out of
+    the join.
+    """
+    symbols = normalized.groupBy("symbol").agg(F.lit(True).alias("_known"))
+    some = normalized.agg(F.min("symbol").alias("s")).scalar()
+    known = F.coalesce("_known", F.lit(False))
+    return alloc.join(symbols, "symbol", "left").select(
+        "portfolio_id", F.when(known, F.col("symbol")).otherwise(some).alias("symbol"), F.when(known, F.col("w")).alias("w"))
+
+
 def _value_series(normalized: DataFrame, alloc: DataFrame, lookback: int) -> Series:
     """Portfolio values laid out in blocks of the calendar, ready for windows over ``lookback`` rows.
 
@@ -36,7 +50,8 @@ def _value_series(normalized: DataFrame, alloc: DataFrame, lookback: int) -> Ser
     Aligned prices hold equally many rows per symbol, so only the allocations can be hot.
     """
     value = [F.max("date").alias("date"),  # one date per calendar position
-             F.when(F.count(F.lit(1)) == F.count("norm"), F.sum(F.col("norm") * F.col("w"))).alias("port_value")]
+             F.when(F.count(F.lit(1)) == F.count(F.col("norm") * F.col("w")), F.sum(F.col("norm") * F.col("w"))).alias("port_value")]
+    alloc = materialize(_with_unknown(normalized, alloc), "allocations")
     if fits_broadcast(alloc):
         cut = with_overlap(normalized, ("portfolio_id",), lookback, DATE_BLOCK)
         tasks = int(normalized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -48,7 +63,8 @@ def _value_series(normalized: DataFrame, alloc: DataFrame, lookback: int) -> Ser
 
 
 def portfolio_value(normalized: DataFrame, alloc: DataFrame) -> DataFrame:
-    """``(portfolio_id, date, t, port_value)``, missing on dates when any held symbol is missing."""
+    """``(portfolio_id, date, t, port_value)``, missing on dates when any held symbol or weight is missing; a symbol
+    without any price is missing on all dates."""
     return _value_series(normalized, alloc, 0).select("portfolio_id", "date", "t", "port_value")
 
 

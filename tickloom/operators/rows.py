@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tickloom.operators.skew import fits_broadcast
 from tickloom.session import materialize
 
+HEAD_ROWS = 10_000
+
 
 def select_drop(df: DataFrame, keep=None, drop=()) -> DataFrame:
     return (df.select(*keep) if keep else df).drop(*drop)
@@ -32,15 +34,15 @@ def columns_except(df: DataFrame, name: str) -> list:
     return [c for c in df.columns if c.lower() != name.lower()]
 
 
-def lookup_first_or_error(df: DataFrame, condition, message: str) -> DataFrame:
-    """The first row that matches; no match is an error, raised when the row is read.
+def lookup_first_or_error(df: DataFrame, condition, message: str, order_cols=()) -> DataFrame:
+    """The first row that matches, by ``order_cols`` or else all columns; no match is an error, raised when the row is read.
 
     The found row and the sentinel of an empty result are one aggregate row, so nothing is collected.
     """
-    hit = df.where(condition).limit(1)
-    found = hit.agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in df.columns])
+    first = F.min_by(F.struct(*df.columns), F.struct(*(order_cols or df.columns))).alias("_row")
+    found = df.where(condition).agg(F.count(F.lit(1)).alias("_n"), first)
     missing = F.raise_error(F.lit(message))
-    return found.select(*[F.when(F.col("_n") == 0, missing).otherwise(F.col(c)).alias(c) for c in df.columns])
+    return found.select(*[F.when(F.col("_n") == 0, missing).otherwise(F.col(f"_row.{c}")).alias(c) for c in df.columns])
 
 
 def row_positions(df: DataFrame, order_cols, *, key_cols=(), name: str = "row_index") -> DataFrame:
@@ -65,11 +67,22 @@ def row_positions(df: DataFrame, order_cols, *, key_cols=(), name: str = "row_in
     if not key_cols or fits_broadcast(parts):
         parts = F.broadcast(parts)
     position = (F.col("_before") + F.col("_at") - F.col("_from")).cast("long").alias(name)
-    return stored.join(parts, [*key_cols, "_part"]).select(*cols, position)
+    parts = parts.withColumnsRenamed({c: f"_of_{c}" for c in [*key_cols, "_part"]})
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key_cols], F.col("_part") == F.col("_of__part"))
+    return stored.join(parts, same).select(*cols, position)
 
 
 def row_range_slice(df: DataFrame, order_cols, start: int, stop: int, *, key_cols=()) -> DataFrame:
-    """Rows ``[start, stop)`` by position, overall or within each key."""
+    """Rows ``[start, stop)`` by position, overall or within each key.
+
+    Up to ``HEAD_ROWS`` every task keeps its first ``stop`` rows (of each key) before anything is shuffled; a
+    larger ``stop`` needs the positions of all rows. Both give the same rows.
+    """
+    if stop <= HEAD_ROWS and not key_cols:
+        return df.orderBy(*order_cols).offset(start).limit(stop - start)
+    if stop <= HEAD_ROWS:
+        nth = F.row_number().over(Window.partitionBy(*key_cols).orderBy(*order_cols))
+        return df.withColumn("_pos", nth).where((F.col("_pos") <= stop) & (F.col("_pos") > start)).drop("_pos")
     placed = row_positions(df, order_cols, key_cols=key_cols, name="_pos")
     return placed.where((F.col("_pos") >= start) & (F.col("_pos") < stop)).drop("_pos")
 

@@ -4,8 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_SHARE = 100_000
-MIN_SHARE = 1_000
+from tickloom.session import materialize
+
+SALT_ROWS = 10_000
 BROADCAST_BYTES = 64 << 20
 
 
@@ -24,28 +25,35 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 
 def _salt_counts(df: DataFrame, on, name: str) -> DataFrame:
     """``(on…, name)`` for the hot keys of ``df``: over how many salts to deal their rows."""
-    share = df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / HOT_SHARE), F.lit(MIN_SHARE)).alias("s")).scalar()
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).withColumn("_share", share)
-    return counts.where(F.col("_n") > F.col("_share")).select(
-        *on, F.ceil(F.col("_n") / F.col("_share")).cast("int").alias(name))
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > SALT_ROWS)
+    return materialize(counts.select(*on, F.ceil(F.col("_n") / SALT_ROWS).cast("int").alias(name)), "hot-keys")
+
+
+def _row_salt(df: DataFrame, on):
+    """A number to deal the rows of a key by: the task and the columns that can be hashed, so that rows which are
+    alike are dealt as far as they come from different tasks, and a task that runs again repeats it."""
+    plain = [F.col(f.name) for f in df.schema.fields if f.name not in on and not isinstance(f.dataType, (
+        T.MapType, T.ArrayType, T.StructType, T.VariantType))]
+    return F.xxhash64(F.spark_partition_id(), *plain)
 
 
 def skew_join(left: DataFrame, right: DataFrame, on, sides=("left", "right")) -> DataFrame:
     """Inner equi-join in which no key's pairs land in one task.
 
-    A key is hot on a side when it holds more than 1/100,000 of that side's rows. So at most 100,000
-    keys per side are hot; the table of hot keys has that fixed bound and is broadcast. The rows of a
-    hot key are dealt over salts by a hash of the row, and the other side's rows of that key are
-    copied once per salt: one copy for at least a thousand pairs. Other keys keep one copy under
-    salt 0. Every pair appears exactly once.
+    A key is hot on a side when it holds more than ``SALT_ROWS`` rows there. Its rows are dealt over
+    salts of about that many rows by task and content, and the other side's rows of that key are copied
+    once per salt, so a task gets about ``SALT_ROWS`` squared pairs of a key, however many the key has.
+    Other keys keep one copy under salt 0. Every pair appears exactly once. The table of hot keys is
+    broadcast when its measured size allows; otherwise it is joined like any other table.
 
     ``sides`` names the sides whose keys are counted, each at the price of one more pass over the key
     column; leave out a side whose keys are known to be even.
     """
     on = [on] if isinstance(on, str) else list(on)
     frames = {"left": left, "right": right}
-    hot = {side: F.broadcast(_salt_counts(frames[side], on, "_salts")) for side in sides}
-    row = {side: F.xxhash64(*[F.col(c) for c in frames[side].columns if c not in on]) for side in sides}
+    hot = {side: _salt_counts(frames[side], on, "_salts") for side in sides}
+    hot = {side: F.broadcast(t) if fits_broadcast(t) else t for side, t in hot.items()}
+    row = {side: _row_salt(frames[side], on) for side in sides}
     n = F.coalesce("_salts", F.lit(1))
     for side in sides:
         other = "right" if side == "left" else "left"

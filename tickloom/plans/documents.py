@@ -47,8 +47,12 @@ TOP = """CAST(l_partkey AS VARCHAR) AS cik, 'us-gaap' AS taxonomy, 'Assets' AS t
   CASE WHEN l_linestatus = 'F' THEN 'final' END AS description, 'Supplier ' || CAST(l_suppkey AS VARCHAR) AS "entityName" """
 
 
+def _tagged(docs):
+    return ns.tag_unit_type(ns.extract_unit_list(docs))
+
+
 def _usd(spark, d):
-    return ns.tag_unit_type(ns.extract_unit_list(ns.json_to_document(documents(spark, d), "text")))
+    return _tagged(ns.json_to_document(documents(spark, d), "text"))
 
 
 def _typed(spark, d):
@@ -70,6 +74,22 @@ def _partly_broken(spark, d):
     return whole.select(*ID, cut.alias("text"))
 
 
+@query("json_to_document_mistyped", """SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS cik, CASE WHEN l_tax <> 0.03 THEN 2 END AS n,
+  CASE WHEN l_tax NOT IN (0.02, 0.03) THEN CAST(l_suppkey AS BIGINT) END AS val, CASE WHEN l_tax <> 0.03 THEN 8 END AS other FROM lineitem""")
+def json_to_document_mistyped(spark, d):
+    """A fraction for a tax of 0.02, text for 0.01, and something that is no map of units for 0.03: all documents stay."""
+    supp = F.col("l_suppkey").cast("string")
+    val = (F.when(F.col("l_tax") == 0.02, F.concat(supp, F.lit(".5"))).when(F.col("l_tax") == 0.01, F.concat(F.lit('"'), supp, F.lit('"')))
+           .when(F.col("l_tax") == 0.04, F.concat(supp, F.lit(".0"))).otherwise(supp))
+    units = F.when(F.col("l_tax") == 0.03, F.lit("5")).otherwise(
+        F.concat(F.lit('{"USD":[{"val":'), val, F.lit('},{"val":8}]}')))
+    text = F.concat(F.lit('{"cik":'), F.col("l_partkey").cast("string"), F.lit(',"units":'), units, F.lit("}"))
+    docs = ns.write_units_struct(_tagged(ns.json_to_document(b.table(spark, d, "lineitem").select(*ID, text.alias("text")), "text")))
+    held = F.when(F.col("units").isNotNull(), F.size("units"))
+    return docs.select(*ID, "cik", held.alias("n"), F.try_element_at("units", F.lit(1))["val"].alias("val"),
+                       F.try_element_at("units", F.lit(2))["val"].cast("int").alias("other"))
+
+
 @query("drop_failed_rows", "SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS cik FROM lineitem WHERE l_tax <> 0.03")
 def drop_failed_rows(spark, d):
     return ns.drop_failed_rows(ns.parse_documents(_partly_broken(spark, d), "text")).select(*ID, F.col("doc.cik").alias("cik"))
@@ -80,15 +100,17 @@ def failed_rows(spark, d):
     return ns.failed_rows(ns.parse_documents(_partly_broken(spark, d), "text")).select(*ID, "_corrupt")
 
 
-@query("extract_unit_list", f"""WITH {UNITS} SELECT l_orderkey, l_linenumber, accn, val FROM items WHERE l_tax > 0.04""")
+@query("extract_unit_list", f"""WITH {UNITS} SELECT l_orderkey, l_linenumber, accn, val FROM items WHERE l_tax > 0.04
+UNION ALL SELECT l_orderkey, l_linenumber, NULL, NULL FROM lineitem WHERE NOT l_tax > 0.04""")
 def extract_unit_list(spark, d):
     docs = ns.extract_unit_list(ns.json_to_document(documents(spark, d), "text"), "shares")
-    return docs.select(*ID, F.explode("units").alias("u")).select(*ID, "u.accn", "u.val")
+    return docs.select(*ID, F.explode_outer("units").alias("u")).select(*ID, "u.accn", ns.whole_number(F.col("u.val")).alias("val"))
 
 
-@query("tag_unit_type", f"WITH {UNITS} SELECT l_orderkey, l_linenumber, accn, 'USD' AS type FROM items WHERE l_discount > 0")
+@query("tag_unit_type", f"""WITH {UNITS} SELECT l_orderkey, l_linenumber, accn, 'USD' AS type FROM items WHERE l_discount > 0
+UNION ALL SELECT l_orderkey, l_linenumber, NULL, NULL FROM lineitem WHERE NOT l_discount > 0""")
 def tag_unit_type(spark, d):
-    return _usd(spark, d).select(*ID, F.explode("units").alias("u")).select(*ID, "u.accn", "u.type")
+    return _usd(spark, d).select(*ID, F.explode_outer("units").alias("u")).select(*ID, "u.accn", "u.type")
 
 
 @query("replace_key", "SELECT l_orderkey, l_linenumber, lpad(CAST(l_suppkey AS VARCHAR), 10, '0') AS cik FROM lineitem")
@@ -99,9 +121,10 @@ def replace_key(spark, d):
 
 
 @query("write_units_struct", f"""WITH {UNITS} SELECT l_orderkey, l_linenumber, accn, form, fp, fy, 'USD' AS type, "end", filed, val
-FROM items WHERE l_discount > 0""")
+FROM items WHERE l_discount > 0
+UNION ALL SELECT l_orderkey, l_linenumber, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM lineitem WHERE NOT l_discount > 0""")
 def write_units_struct(spark, d):
-    return _typed(spark, d).select(*ID, F.explode("units").alias("u")).select(*ID, "u.*")
+    return _typed(spark, d).select(*ID, F.explode_outer("units").alias("u")).select(*ID, "u.*")
 
 
 @query("write_scalar_field", f"""SELECT l_orderkey, l_linenumber, CAST(l_partkey AS INTEGER) AS cik, CAST(NULL AS INTEGER) AS label,

@@ -63,7 +63,7 @@ def gramian_cells(spark, d):
 @query("tall_skinny_qr", f"{VEC}, {GRAM} SELECT i, j, ROUND(v, 6) AS v FROM gram")
 def tall_skinny_qr(spark, d):
     """RᵀR, which equals the Gramian."""
-    r = mx.qr_r(_embeddings(spark, d), "embedding", WIDTH)
+    r = materialize(mx.qr_r(_embeddings(spark, d), "embedding", WIDTH), "r")
     return b.rounded(mx.matmul(mx.transpose(r), r), "v")
 
 
@@ -101,11 +101,11 @@ def dense_from_column_major(spark, d):
     return mx.dense_from_column_major(_embeddings(spark, d), ["vec_id"], "embedding", 8, 8)
 
 
-@query("sparse_from_csc", f"{VEC} SELECT i AS vec_id, j % 8 AS i, j // 8 AS j, v FROM vec WHERE v > 0")
+@query("sparse_from_csc", f"{VEC} SELECT i AS vec_id, j % 8 AS i, j // 8 AS j, v FROM vec WHERE v <> 0")
 def sparse_from_csc(spark, d):
-    """Each vector is packed as the positive cells of an 8 × 8 matrix, then unpacked."""
+    """Each vector is packed as the non-zero cells of an 8 × 8 matrix, then unpacked."""
     placed = F.transform("embedding", lambda x, p: F.struct(p.alias("p"), x.alias("x")))
-    kept = F.filter(placed, lambda c: c.x > 0)
+    kept = F.filter(placed, lambda c: c.x != 0)
     starts = F.transform(F.sequence(F.lit(0), F.lit(8)), lambda col: F.size(F.filter("kept", lambda c: c.p < col * 8)))
     packed = _embeddings(spark, d).withColumn("kept", kept).select(
         "vec_id", starts.alias("col_ptr"), F.transform("kept", lambda c: c.p % 8).alias("row_indices"),

@@ -36,6 +36,20 @@ def portfolio_value(spark, d):
     return b.rounded(_values(spark, d).drop("t"), "port_value")
 
 
+@query("portfolio_value_unknown_symbol", f"""{NORM},
+held AS (SELECT portfolio_id, CASE WHEN portfolio_id % 3 = 0 AND symbol = 'A' OR portfolio_id % 5 = 0 THEN 'ZZ' ELSE symbol END AS symbol, w FROM alloc),
+val AS (SELECT a.portfolio_id, d.date, CASE WHEN count(n.norm) = count(*) THEN sum(n.norm * a.w) END AS port_value
+  FROM held a JOIN (SELECT DISTINCT date FROM norm) d ON TRUE LEFT JOIN norm n ON n.symbol = a.symbol AND n.date = d.date GROUP BY ALL)
+SELECT portfolio_id, date, ROUND(port_value, 6) AS port_value FROM val""")
+def portfolio_value_unknown_symbol(spark, d):
+    """One holding, or all holdings, of some portfolios have no prices."""
+    p = F.col("portfolio_id")
+    lost = (p % 3 == 0) & (F.col("symbol") == "A") | (p % 5 == 0)
+    alloc = b.allocations(spark, d).withColumn("symbol", F.when(lost, "ZZ").otherwise(F.col("symbol")))
+    values = pf.portfolio_value(pf.normalize_prices(b.flag_prices(spark, d)), alloc)
+    return b.rounded(values.drop("t"), "port_value")
+
+
 @query("daily_returns", f"{RETURNS} SELECT portfolio_id, date, ROUND(daily_return, 6) AS daily_return FROM ret")
 def daily_returns(spark, d):
     return b.rounded(pf.daily_returns(_values(spark, d)).drop("t"), "daily_return")

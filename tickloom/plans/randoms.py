@@ -16,8 +16,9 @@ def _u(keys, start=1, stream=0, seed=SEED):
             f" / 4503599627370496.0::DOUBLE")
 
 
-def _n(keys, seed=SEED):
-    return f"sqrt(-2.0::DOUBLE * ln({_u(keys, 1, seed=seed)})) * cos(2.0::DOUBLE * pi() * ({_u(keys, 14, seed=seed)}))"
+def _n(keys, seed=SEED, stream=0):
+    first, second = (_u(keys, at, stream, seed) for at in (1, 14))
+    return f"sqrt(-2.0::DOUBLE * ln({first})) * cos(2.0::DOUBLE * pi() * ({second}))"
 
 
 def _events(spark, d, **cols):
@@ -37,24 +38,24 @@ def random_normal(spark, d):
     return _events(spark, d, x=F.round(rnd.gaussian(SEED, F.col("event_id")), 6))
 
 
-@query("random_gaussian", f"SELECT event_id, ROUND(52 + 13 * ({_n(KEY)}), 6) AS a, ROUND(60 + 12 * ({_n(KEY)}), 6) AS b FROM events")
+@query("random_gaussian", f"SELECT event_id, ROUND(52 + 13 * ({_n(KEY)}), 6) AS a, ROUND(60 + 12 * ({_n(KEY, stream=1)}), 6) AS b FROM events")
 def random_gaussian(spark, d):
     key = F.col("event_id")
     return _events(spark, d, a=F.round(rnd.gaussian(SEED, key, mean=52, sd=13), 6),
-                   b=F.round(rnd.gaussian(SEED, key, mean=60, sd=12), 6))
+                   b=F.round(rnd.gaussian(SEED, key, mean=60, sd=12, stream=1), 6))
 
 
-@query("random_bernoulli", f"SELECT event_id, CAST({_u(KEY)} < 0.8 AS INTEGER) AS a, CAST({_u(KEY)} < 0.4 AS INTEGER) AS b FROM events")
+@query("random_bernoulli", f"SELECT event_id, CAST({_u(KEY)} < 0.8 AS INTEGER) AS a, CAST({_u(KEY, stream=1)} < 0.4 AS INTEGER) AS b FROM events")
 def random_bernoulli(spark, d):
     key = F.col("event_id")
-    return _events(spark, d, a=rnd.bernoulli(SEED, key, p=0.8), b=rnd.bernoulli(SEED, key, p=0.4))
+    return _events(spark, d, a=rnd.bernoulli(SEED, key, p=0.8), b=rnd.bernoulli(SEED, key, p=0.4, stream=1))
 
 
-@query("random_exponential", f"SELECT event_id, ROUND(-ln(1.0 - {_u(KEY)}) / 0.4, 6) AS a, ROUND(-ln(1.0 - {_u(KEY)}) / 0.2, 6) AS b FROM events")
+@query("random_exponential", f"SELECT event_id, ROUND(-ln(1.0 - {_u(KEY)}) / 0.4, 6) AS a, ROUND(-ln(1.0 - {_u(KEY, stream=1)}) / 0.2, 6) AS b FROM events")
 def random_exponential(spark, d):
     key = F.col("event_id")
     return _events(spark, d, a=F.round(rnd.exponential(SEED, key, rate=0.4), 6),
-                   b=F.round(rnd.exponential(SEED, key, rate=0.2), 6))
+                   b=F.round(rnd.exponential(SEED, key, rate=0.2, stream=1), 6))
 
 
 @query("random_binomial", "SELECT event_id, " + " + ".join(

@@ -36,10 +36,14 @@ def scan_csv_inferred(spark, d):
     return tx.scan_csv_inferred(spark, _written_csv(spark, b.table(spark, d, "customer"), "csv"))
 
 
+# Fixed value: longest field that this scan accepts.
+MAX_CHARS = 20000
+
+
 @query("scan_delimited_options", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def scan_delimited_options(spark, d):
     part = b.table(spark, d, "part")
-    return tx.scan_delimited(spark, _written_csv(spark, part, "tsv", sep="\t"), part.schema, header=True)
+    return tx.scan_delimited(spark, _written_csv(spark, part, "tsv", sep="\t"), part.schema, header=True, max_chars=MAX_CHARS)
 
 
 @query("scan_tsv_fixed_schema", "SELECT c_name AS ticker, CAST(c_custkey AS VARCHAR) AS cik FROM customer")

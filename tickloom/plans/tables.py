@@ -54,7 +54,7 @@ def column_arithmetic(spark, d):
 @query("lookup_first_or_error", "SELECT c_custkey, c_name FROM customer WHERE c_name = 'Customer#000000042'")
 def lookup_first_or_error(spark, d):
     c = b.table(spark, d, "customer").select("c_custkey", "c_name")
-    return rw.lookup_first_or_error(c, F.col("c_name") == "Customer#000000042", "Invalid Ticker")
+    return rw.lookup_first_or_error(c, F.col("c_name") == "Customer#000000042", "Invalid Ticker", ["c_custkey"])
 
 
 @query("row_range_slice", f"""WITH {b.PX} SELECT date, symbol, price FROM (
@@ -93,6 +93,15 @@ def row_index(spark, d):
     return rw.row_positions(ev, ["ts", "event_id"]).drop("ts")
 
 
+@query("row_index_null_key", """SELECT event_id, CASE WHEN event_type <> 'click' THEN user_id END AS user_id,
+  row_number() OVER (PARTITION BY CASE WHEN event_type <> 'click' THEN user_id END ORDER BY ts, event_id) - 1 AS row_index FROM events""")
+def row_index_null_key(spark, d):
+    """The clicks have no key; together they are one."""
+    user = F.when(F.col("event_type") != "click", F.col("user_id")).alias("user_id")
+    ev = b.table(spark, d, "events").select("event_id", user, "ts")
+    return rw.row_positions(ev, ["ts", "event_id"], key_cols=["user_id"]).drop("ts")
+
+
 @query("row_index_by_key", """SELECT event_id, user_id,
   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS row_index FROM events""")
 def row_index_by_key(spark, d):
@@ -286,12 +295,12 @@ def decimal_half_up(spark, d):
         sc.to_decimal(tenth, 18, 2).alias("half_up"))
 
 
-@query("pow_sqrt_abs", """SELECT event_id, ROUND(pow(value, -1.0), 9) AS inverse, ROUND(pow(abs(value), 0.5), 6) AS root,
-  ROUND(sqrt(abs(value)), 6) AS root2, abs(value) AS size FROM events WHERE value <> 0""")
+@query("pow_sqrt_abs", """SELECT event_id, CASE WHEN value <> 0 THEN ROUND(pow(value, -1.0), 9) END AS inverse, ROUND(pow(abs(value), 0.5), 6) AS root,
+  ROUND(sqrt(abs(value)), 6) AS root2, abs(value) AS size FROM events""")
 def pow_sqrt_abs(spark, d):
     v = F.col("value")
-    return b.table(spark, d, "events").where(v != 0).select(
-        "event_id", F.round(F.pow(v, F.lit(-1.0)), 9).alias("inverse"), F.round(F.pow(F.abs(v), F.lit(0.5)), 6).alias("root"),
+    return b.table(spark, d, "events").select(
+        "event_id", F.when(v != 0, F.round(F.pow(v, F.lit(-1.0)), 9)).alias("inverse"), F.round(F.pow(F.abs(v), F.lit(0.5)), 6).alias("root"),
         F.round(F.sqrt(F.abs(v)), 6).alias("root2"), F.abs(v).alias("size"))
 
 

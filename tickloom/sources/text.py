@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: longest field a delimited scan accepts.
-MAX_CHARS = 20000
 # Marks without width that a header may start with.
 _NO_WIDTH = "﻿​‌‍"
 
@@ -24,8 +22,8 @@ def scan_csv_inferred(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def scan_delimited(spark: SparkSession, path, schema, *, sep: str = "\t", header: bool = False,
-                   max_chars: int = MAX_CHARS, **options) -> DataFrame:
-    """Separator-delimited text with a known schema and a cap on the length of a field."""
+                   max_chars: int = -1, **options) -> DataFrame:
+    """Separator-delimited text with a known schema; ``max_chars`` makes a longer field an error."""
     reader = spark.read.schema(schema).option("sep", sep).option("header", header).option("maxCharsPerColumn", max_chars)
     return reader.options(**options).csv(path)
 
@@ -33,14 +31,15 @@ def scan_delimited(spark: SparkSession, path, schema, *, sep: str = "\t", header
 def scan_quarters(spark: SparkSession, base: str, schema, **options) -> DataFrame:
     """All ``<year>q<quarter>/<table>.txt`` under ``base`` as one table with ``year, quarter, tbl``.
 
-    A directory level may also be written ``name=value``. The keys come from each file's path.
+    A directory level may also be written ``name=value``. The keys come from each file's path; rows of files whose
+    path is none of these are left out.
     """
-    reader = scan_delimited(spark, base, schema, recursiveFileLookup=True, **options)
+    reader = scan_delimited(spark, base, schema, **{"recursiveFileLookup": True, **options})
     at = r"(\d{4})q([1-4])/(?:[^/=]+=)?(\w+)\.txt(?:/|$)"
     path = F.col("_metadata.file_path")
-    return reader.select("*", F.regexp_extract(path, at, 1).cast("int").alias("year"),
-                         F.regexp_extract(path, at, 2).cast("int").alias("quarter"),
-                         F.regexp_extract(path, at, 3).alias("tbl"))
+    return reader.select("*", F.regexp_extract(path, at, 1).try_cast("int").alias("year"),
+                         F.regexp_extract(path, at, 2).try_cast("int").alias("quarter"),
+                         F.regexp_extract(path, at, 3).alias("tbl")).where("year IS NOT NULL")
 
 
 def scan_csv_strict(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
