@@ -1,14 +1,19 @@
 """Rows, documents and cells that earlier fell out: missing keys, wide rows, repeated cells, alike rows of a hot key."""
 
+import zipfile
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_scale import table
+from tickloom.operators import align as al
 from tickloom.operators import matrix as mx
 from tickloom.operators import nested as ns
 from tickloom.operators import rows as rw
+from tickloom.operators import schema_merge as sm
 from tickloom.operators import skew
+from tickloom.sources import files as fl
 from tickloom.sources import text as tx
 
 
@@ -103,3 +108,25 @@ def test_columns_with_their_own_stream_are_independent(spark):
 
     pair = spark.range(4000).select(rnd.gaussian(3, F.col("id")).alias("a"), rnd.gaussian(3, F.col("id"), stream=1).alias("b"))
     assert abs(pair.agg(F.corr("a", "b")).head()[0]) < 0.05
+
+
+def test_missing_keys_stay_apart_when_aligned(spark):
+    a = spark.createDataFrame([("x", 1), (None, 2)], "k string, a int")
+    c = spark.createDataFrame([("x", 3), (None, 4), (None, 5)], "k string, c int")
+    assert table(al.full_outer_align([a, c], "k")) == table(a.join(c, "k", "full"))
+
+
+def test_schema_of_deep_and_text_keyed_documents(spark):
+    deep = '{"a":' * 3000 + "1" + "}" * 3000
+    df = spark.createDataFrame([("k1", deep), ("k2", '{"b c":1,"l":[{"x":"t"}]}'), ("k3", "[1]")], "k string, t string")
+    merged = sm.infer_schema(df, "k", "t")
+    assert sm.schema_of(merged).simpleString() == "struct<b c:int,l:array<struct<x:string>>>"
+    assert merged._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 0  # read once, then written
+
+
+def test_undecodable_archives_are_an_error(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("m.txt", b"caf\xe9\n")
+    with pytest.raises(Exception, match="can't decode"):
+        fl.scan_zip_members(spark, str(tmp_path)).collect()
+    assert [r.line for r in fl.scan_zip_members(spark, str(tmp_path), encoding="latin-1").collect()] == ["café"]

@@ -150,7 +150,8 @@ def full_outer_align(tables, key: str = "date") -> DataFrame:
     """n-way full outer equi-join on ``key`` with the key columns merged into one.
 
     Each table holds a key at most once (a second row is an error), so the join is a grouping of
-    their union: one shuffle with map-side combination instead of one per table.
+    their union: one shuffle with map-side combination instead of one per table. Rows without a key
+    match nothing and stay rows of their own.
     """
     names = [c for t in tables for c in t.columns if c != key]
     if len(set(names)) != len(names):
@@ -158,11 +159,12 @@ def full_outer_align(tables, key: str = "date") -> DataFrame:
     marked = [t.withColumn(f"_n{i}", F.lit(1)) for i, t in enumerate(tables)]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
     counts = [f"_n{i}" for i in range(len(tables))]
-    merged = stacked.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in names],
+    merged = stacked.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in names],
                                       *[F.sum(n).alias(n) for n in counts])
     twice = reduce(lambda a, b: a | b, [F.coalesce(F.col(n) > 1, F.lit(False)) for n in counts])
     error = F.raise_error(F.concat(F.lit("key held twice: "), F.col(key).cast("string")))
-    return merged.select(F.when(twice, error).otherwise(F.col(key)).alias(key), *names)
+    aligned = merged.select(F.when(twice, error).otherwise(F.col(key)).alias(key), *names)
+    return aligned.unionByName(stacked.where(F.col(key).isNull()).select(key, *names))
 
 
 def pivot_wide(prices: DataFrame, symbols, *, key: str = "date", symbol_col: str = "symbol",

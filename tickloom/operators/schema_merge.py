@@ -8,13 +8,15 @@ are merged field by field, but among lists of structs the first document's struc
 A schema is held as rows ``(path, type)``: ``a.b`` for field b of a, ``a[]`` for the elements of a, names
 with other marks in backquotes. Merging is then a grouping by path, so neither the documents nor their
 shapes meet on the driver. Texts that are not JSON objects have no schema and add nothing; they are the
-rows ``nested.failed_rows`` returns.
+rows ``nested.failed_rows`` returns. Nor do objects nested deeper than the reader follows.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.session import materialize
+
 # Spark type names of the inferred scalar types.
 SCALARS = {"string": "string", "int": "int", "long": "bigint", "double": "double", "boolean": "boolean",
            "timestamp": "timestamp"}
@@ -89,24 +91,30 @@ def document_paths(df: DataFrame, key_col: str, text_col: str) -> DataFrame:
         for frame in frames:
             first = {}
             for key, text in zip(frame["k"], frame["t"]):
-                for found in paths((), document(text)):
+                try:
+                    each = list(paths((), document(text)))
+                except RecursionError:
+                    continue
+                for found in each:
                     if found not in first or key < first[found]:
                         first[found] = key
             yield pd.DataFrame([(*found, key) for found, key in first.items()],
                                columns=["path", "type", "element", "first_key"])
 
-    texts = df.where(F.col(text_col).isNotNull()).select(F.col(key_col).cast("long").alias("k"), F.col(text_col).alias("t"))
-    return texts.mapInPandas(read, "path string, type string, element string, first_key long")
+    texts = df.where(F.col(text_col).isNotNull() & F.col(key_col).isNotNull()).select(F.col(key_col).alias("k"), F.col(text_col).alias("t"))
+    return texts.mapInPandas(read, f"path string, type string, element string, first_key {texts.schema['k'].dataType.simpleString()}")
 
 
 def merge_paths(found: DataFrame) -> DataFrame:
     """One type per path: ``(path, type, element, steps)``.
 
-    Paths below one that became text are dropped with it.
+    Paths below one that became text are dropped with it. The grouped paths are written before they are compared
+    with each other, so every document is read once.
     """
     merged = found.groupBy("path").agg(
         F.min("type").alias("_low"), F.max("type").alias("_high"),
-        F.min_by("element", "first_key").alias("element"), F.min("first_key").alias("first_key"))
+        F.min_by("element", "first_key").alias("element"))
+    merged = materialize(merged, "schema-paths")
     agreed = F.col("_low") == F.col("_high")
     merged = merged.select("path", F.when(agreed, F.col("_low")).otherwise("string").alias("type"),
                            F.when(agreed, F.col("element")).otherwise("").alias("element"), (~agreed).alias("_mixed"))
@@ -147,9 +155,11 @@ def schema_of(merged: DataFrame) -> T.StructType:
             return row["element"] or struct_of(path)
         return SCALARS[row["type"]]
 
-    def struct_of(path):
+    def fields_of(path, mark):
         fields = sorted(p for p in rows if len(p) == len(path) + 1 and p[:-1] == path)
-        named = ["`" + p[-1].replace("`", "``") + "`:" + build(p) for p in fields]
-        return "struct<" + ",".join(named) + ">"
+        return ",".join("`" + p[-1].replace("`", "``") + "`" + mark + build(p) for p in fields)
+
+    def struct_of(path):
+        return f"struct<{fields_of(path, ':')}>"
 
-    return T._parse_datatype_string(struct_of(()))
+    return T.StructType.fromDDL(fields_of((), " "))

@@ -68,11 +68,12 @@ def parquet_metadata_report(spark: SparkSession, path: str) -> DataFrame:
     return list_files(spark, path, "*.parquet").repartition(tasks, "path").mapInPandas(footers, schema)
 
 
-def scan_zip_members(spark: SparkSession, path: str) -> DataFrame:
+def scan_zip_members(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
     """Lines of the text members of zip archives: ``(archive, member, line_no, line)``.
 
     Members whose path leads out of the archive's directory are skipped. The archives' directories
-    are listed first; then each member is its own unit of work and is streamed in bounded batches.
+    are listed first; then each member is its own unit of work and is streamed in bounded batches. Bytes that are
+    not in ``encoding`` are an error.
     """
     open_file, safe = _opener(), safe_member
 
@@ -104,7 +105,7 @@ def scan_zip_members(spark: SparkSession, path: str) -> DataFrame:
             for archive, member in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with open_file(archive) as f, zipfile.ZipFile(f) as z, z.open(member) as raw:
                     first, held, size = 0, [], 0
-                    for line in io.TextIOWrapper(raw, encoding="utf-8", errors="replace"):
+                    for line in io.TextIOWrapper(raw, encoding=encoding):
                         held.append(line.rstrip("\r\n"))
                         size += len(line)
                         if size > 4_000_000:
