@@ -91,3 +91,21 @@ def null_value(type_name: str) -> Column:
     if type_name not in TYPE_NAMES:
         raise ValueError(f"Unknown type {type_name}")
     return F.lit(None).cast(TYPE_NAMES[type_name])
+
+
+def write_value(col: Column, source: T.DataType, type_name: str) -> Column:
+    """A value of ``source`` type as the named column type; missing where it cannot be written.
+
+    Whole numbers are milliseconds for ``TIMESTAMPMILLITZ`` and ``DATEMILLI``, and days for ``DATEDAY``. ``BIT`` is true
+    for true and for whole numbers above zero, false for everything else that is there. Decimals round half up.
+    """
+    if type_name not in TYPE_NAMES:
+        raise ValueError(f"Unknown type {type_name}")
+    target = T.StructType.fromDDL(f"x {TYPE_NAMES[type_name]}")[0].dataType
+    if type_name == "BIT" and not isinstance(source, T.BooleanType):
+        return F.when(col.isNotNull(), col > 0 if isinstance(source, T.IntegralType) else F.lit(False))
+    if type_name in ("TIMESTAMPMILLITZ", "DATEMILLI") and isinstance(source, T.IntegralType):
+        return F.timestamp_millis(col.cast("long"))
+    if type_name == "VARBINARY":
+        return col if isinstance(source, T.BinaryType) else col.cast("string").cast("binary")
+    return coerce(col, source, target)

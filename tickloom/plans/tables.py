@@ -340,6 +340,32 @@ def set_scalar_value(spark, d):
         sc.coerce(c("l_suppkey"), long, T.StringType()).alias("varchar"))
 
 
+@query("write_value_by_type_name", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  epoch_ms(l_orderkey * 86400007) AS timestampmillitz, epoch_ms(l_partkey * 997) AS datemilli,
+  DATE '1970-01-01' + CAST(l_linenumber * 1000 AS INTEGER) AS dateday, CAST(l_linenumber AS DOUBLE) AS float8,
+  CAST(CAST(l_discount AS FLOAT) AS DOUBLE) AS float4, CAST(trunc(l_extendedprice) AS INTEGER) AS int, l_orderkey * 3000000019 AS bigint,
+  CAST(l_linenumber AS TINYINT) AS tinyint, CAST(l_linenumber * 100 AS SMALLINT) AS smallint, CAST(l_linenumber + 200 AS SMALLINT) AS uint1,
+  CAST(l_linenumber + 60000 AS INTEGER) AS uint2, l_linenumber + 4000000000 AS uint4, '1844674407370955161' || l_linenumber % 6 AS uint8,
+  hex(encode(l_returnflag)) AS varbinary, CAST(CAST(l_quantity AS DECIMAL(38,10)) AS VARCHAR) AS decimal, CAST(l_suppkey AS VARCHAR) AS varchar,
+  l_linenumber > 2 AS bit, CAST(NULL AS TINYINT) AS too_large, FALSE AS text_bit FROM lineitem""")
+def write_value_by_type_name(spark, d):
+    c, double, long, integer, text = F.col, T.DoubleType(), T.LongType(), T.IntegerType(), T.StringType()
+    line = c("l_linenumber").cast("int")
+    values = {
+        "TIMESTAMPMILLITZ": (c("l_orderkey") * 86400007, long), "DATEMILLI": (c("l_partkey") * 997, long), "DATEDAY": (line * 1000, integer),
+        "FLOAT8": (line, integer), "FLOAT4": (c("l_discount"), double), "INT": (c("l_extendedprice"), double),
+        "BIGINT": (c("l_orderkey") * F.lit(3000000019), long), "TINYINT": (line, integer), "SMALLINT": (line * 100, integer),
+        "UINT1": (line + 200, integer), "UINT2": (line + 60000, integer), "UINT4": (line + F.lit(4000000000), long),
+        "UINT8": (F.concat(F.lit("1844674407370955161"), (line % 6).cast("string")), text), "VARBINARY": (c("l_returnflag"), text),
+        "DECIMAL": (c("l_quantity"), double), "VARCHAR": (c("l_suppkey"), long), "BIT": (line - 2, integer)}
+    out = {n.lower(): sc.write_value(v, t, n) for n, (v, t) in values.items()}
+    out |= {n: out[n].cast("timestamp_ntz") for n in ("timestampmillitz", "datemilli")} | {n: out[n].cast("string") for n in ("uint8", "decimal")}
+    out |= {"varbinary": F.hex(out["varbinary"]), "float4": out["float4"].cast("double"),
+            "too_large": sc.write_value(line + 1000, integer, "TINYINT"), "text_bit": sc.write_value(c("l_returnflag"), text, "BIT")}
+    return b.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *[v.alias(n) for n, v in out.items()])
+
+
 @query("coerce_types", """SELECT event_id, CAST(k AS VARCHAR) AS as_string, CAST(k AS DOUBLE) AS as_double,
   CAST(CAST(k + 0.5 AS FLOAT) AS DOUBLE) AS as_float, CAST(trunc(-value) AS INTEGER) AS as_int,
   CAST(to_timestamp(k) AT TIME ZONE 'UTC' AS TIMESTAMP) AS as_timestamp, TRY_CAST(event_type AS INTEGER) AS not_a_number
