@@ -6,13 +6,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.test_scale import table
+from tests.test_scale import plan_of, table
 from tickloom.operators import align as al
 from tickloom.operators import matrix as mx
 from tickloom.operators import nested as ns
+from tickloom.operators import portfolio as pf
 from tickloom.operators import rows as rw
 from tickloom.operators import schema_merge as sm
 from tickloom.operators import skew
+from tickloom.plans import base as b
 from tickloom.sources import files as fl
 from tickloom.sources import text as tx
 
@@ -130,3 +132,16 @@ def test_undecodable_archives_are_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="can't decode"):
         fl.scan_zip_members(spark, str(tmp_path)).collect()
     assert [r.line for r in fl.scan_zip_members(spark, str(tmp_path), encoding="latin-1").collect()] == ["café"]
+
+
+def test_portfolio_buckets_do_not_change_values(spark, monkeypatch):
+    alloc, prices = b.allocations(spark, "/root/testdata/sf0.001"), pf.normalize_prices(b.flag_prices(spark, "/root/testdata/sf0.001"))
+    whole = table(pf.portfolio_returns(prices, alloc), 7)
+    monkeypatch.setattr(pf, "PORTFOLIOS_PER_BUCKET", 3)
+    assert table(pf.portfolio_returns(prices, alloc), 7) == whole
+
+
+def test_returns_do_not_shuffle_the_values_again(spark):
+    alloc = b.allocations(spark, "/root/testdata/sf0.001")
+    plan = plan_of(pf.portfolio_returns(pf.normalize_prices(b.flag_prices(spark, "/root/testdata/sf0.001")), alloc))
+    assert "hashpartitioning(portfolio_id" not in plan and "hashpartitioning(blk" in plan

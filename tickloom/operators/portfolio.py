@@ -16,6 +16,7 @@ from tickloom.session import materialize
 TRADING_DAYS = 252
 
 DATE_BLOCK = 32
+PORTFOLIOS_PER_BUCKET = 256
 
 
 def normalize_prices(prices: DataFrame, **layout) -> DataFrame:
@@ -44,19 +45,22 @@ def _with_unknown(normalized: DataFrame, alloc: DataFrame) -> DataFrame:
 def _value_series(normalized: DataFrame, alloc: DataFrame, lookback: int) -> Series:
     """Portfolio values laid out in blocks of the calendar, ready for windows over ``lookback`` rows.
 
-    Allocations of a counted, bounded size are broadcast to prices already cut into date blocks, so
-    the values and the windows over them are computed where the blocks lie, without shuffling
-    portfolios × dates. Larger allocations are joined by symbol with their hot symbols split.
-    Aligned prices hold equally many rows per symbol, so only the allocations can be hot.
+    Allocations of a counted, bounded size are broadcast to prices that are cut into date blocks and
+    copied once per bucket of portfolios, so the values and the windows over them are computed where
+    (block, bucket) lies: tasks grow with dates and portfolios, and portfolios × dates is not shuffled.
+    Larger allocations are joined by symbol with their hot symbols split. Aligned prices hold
+    equally many rows per symbol, so only the allocations can be hot.
     """
     value = [F.max("date").alias("date"),  # one date per calendar position
              F.when(F.count(F.lit(1)) == F.count(F.col("norm") * F.col("w")), F.sum(F.col("norm") * F.col("w"))).alias("port_value")]
     alloc = materialize(_with_unknown(normalized, alloc), "allocations")
     if fits_broadcast(alloc):
-        cut = with_overlap(normalized, ("portfolio_id",), lookback, DATE_BLOCK)
-        tasks = int(normalized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        held = cut.rows.repartition(tasks, "blk").join(F.broadcast(alloc), "symbol")
-        values = held.groupBy("portfolio_id", "blk", "t").agg(F.max("own").alias("own"), *value)
+        buckets = 1 + alloc.select("portfolio_id").distinct().count() // PORTFOLIOS_PER_BUCKET
+        alloc = alloc.withColumn("bucket", F.pmod(F.xxhash64("portfolio_id"), F.lit(buckets)))
+        cut = with_overlap(normalized, ("portfolio_id", "bucket"), lookback, DATE_BLOCK)
+        dealt = cut.rows.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+        held = dealt.repartition("blk", "bucket").join(F.broadcast(alloc), ["symbol", "bucket"])
+        values = held.groupBy("portfolio_id", "bucket", "blk", "t").agg(F.max("own").alias("own"), *value)
         return Series(values, cut.key, lookback, cut.block)
     held = skew_join(normalized, alloc, "symbol", sides=("right",))
     return with_overlap(held.groupBy("portfolio_id", "t").agg(*value), ("portfolio_id",), lookback)
@@ -86,6 +90,13 @@ def daily_returns(values: DataFrame, *, key=("portfolio_id",), value_col: str =
     return s.select(*key, "date", "t", "daily_return")
 
 
+def portfolio_returns(normalized: DataFrame, alloc: DataFrame, *, keep_first: bool = False) -> DataFrame:
+    """``(portfolio_id, date, t, daily_return)`` straight from normalised prices: values and returns share one
+    layout, so portfolios × dates is not shuffled in between."""
+    s = _add_return(_value_series(normalized, alloc, lookback=1), "port_value", keep_first)
+    return s.select("portfolio_id", "date", "t", "daily_return")
+
+
 def _skip_missing(stat, strict_nulls):
     if not strict_nulls:
         return stat

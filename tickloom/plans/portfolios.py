@@ -17,6 +17,10 @@ lagged AS (SELECT *, lag(port_value) OVER (PARTITION BY portfolio_id ORDER BY t)
 ret AS (SELECT portfolio_id, date, t, port_value, (port_value - prev) / NULLIF(prev, 0) AS daily_return FROM lagged)"""
 
 
+def _returns(spark, d):
+    return pf.portfolio_returns(pf.normalize_prices(b.flag_prices(spark, d)), b.allocations(spark, d))
+
+
 def _values(spark, d):
     return pf.portfolio_value(pf.normalize_prices(b.flag_prices(spark, d)), b.allocations(spark, d))
 
@@ -52,7 +56,7 @@ def portfolio_value_unknown_symbol(spark, d):
 
 @query("daily_returns", f"{RETURNS} SELECT portfolio_id, date, ROUND(daily_return, 6) AS daily_return FROM ret")
 def daily_returns(spark, d):
-    return b.rounded(pf.daily_returns(_values(spark, d)).drop("t"), "daily_return")
+    return b.rounded(_returns(spark, d).drop("t"), "daily_return")
 
 
 @query("daily_returns_first_kept", f"""{RETURNS} SELECT portfolio_id, date,
@@ -64,21 +68,21 @@ def daily_returns_first_kept(spark, d):
 @query("average_daily_return", f"""{RETURNS}
 SELECT portfolio_id, ROUND(avg(daily_return), 6) AS average_daily_return FROM ret WHERE t > 0 GROUP BY 1""")
 def average_daily_return(spark, d):
-    return b.rounded(pf.average_daily_return(pf.daily_returns(_values(spark, d))), "average_daily_return")
+    return b.rounded(pf.average_daily_return(_returns(spark, d)), "average_daily_return")
 
 
 @query("average_daily_return_strict", f"""{RETURNS}
 SELECT portfolio_id, CASE WHEN count(*) = count(daily_return) THEN ROUND(avg(daily_return), 6) END AS average_daily_return
 FROM ret WHERE t > 0 GROUP BY 1""")
 def average_daily_return_strict(spark, d):
-    out = pf.average_daily_return(pf.daily_returns(_values(spark, d)), strict_nulls=True)
+    out = pf.average_daily_return(_returns(spark, d), strict_nulls=True)
     return b.rounded(out, "average_daily_return")
 
 
 @query("std_daily_return", f"""{RETURNS}
 SELECT portfolio_id, ROUND(stddev_samp(daily_return), 6) AS std_daily_return FROM ret WHERE t > 0 GROUP BY 1""")
 def std_daily_return(spark, d):
-    return b.rounded(pf.std_daily_return(pf.daily_returns(_values(spark, d))), "std_daily_return")
+    return b.rounded(pf.std_daily_return(_returns(spark, d)), "std_daily_return")
 
 
 @query("cumulative_return", f"""{VALUE}
