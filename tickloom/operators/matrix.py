@@ -16,6 +16,7 @@ from tickloom.session import materialize
 # Widest array row for which one task holds a width × width matrix (8 MiB).
 NARROW = 1024
 FAN_IN = 32
+VECTOR_BLOCK = 1024
 
 
 def _index_names(shape) -> list:
@@ -250,17 +251,22 @@ def gemm(alpha: float, a: DataFrame, b: DataFrame, beta: float, c: DataFrame) ->
 
 def gemv(alpha: float, a: DataFrame, x: DataFrame, beta: float, y: DataFrame) -> DataFrame:
     """``α·A·x + β·y`` for vectors ``(i, v)``."""
-    column = x.select("i", F.lit(0).cast("long").alias("j"), "v")
+    column = materialize(x.select("i", F.lit(0).cast("long").alias("j"), "v"), "vector")  # measured, then joined
     product = _pairs(a, column).select("i", (F.col("v") * F.col("_w") * alpha).alias("v"))
     return _add(["i"], product, scal(y, beta))
 
 
 def rank1_update(alpha: float, x: DataFrame, a: DataFrame) -> DataFrame:
-    """``α·x·xᵀ + A``: the outer product is the product of a column with a row."""
-    zero = F.lit(0).cast("long")
-    column = x.select("i", zero.alias("j"), (alpha * F.col("v")).alias("v"))
-    row = x.select(zero.alias("i"), F.col("i").alias("j"), "v")
-    return _add(["i", "j"], _pairs(column, row).select("i", "j", (F.col("v") * F.col("_w")).alias("v")), a)
+    """``α·x·xᵀ + A``.
+
+    x is cut into blocks; every value is copied once per block and meets that block's values there, so the n² products
+    are made by as many tasks as there are blocks, each with a bounded part of x.
+    """
+    x = materialize(x.select("i", "v", F.expr(f"i div {VECTOR_BLOCK}").alias("blk")), "vector")
+    blocks = x.select(F.col("blk").alias("to")).distinct().agg(F.collect_list("to")).scalar()
+    left = x.select("i", (alpha * F.col("v")).alias("v"), F.explode(blocks).alias("blk"))
+    right = x.select(F.col("i").alias("j"), F.col("v").alias("w"), "blk")
+    return _add(["i", "j"], left.join(right.hint("shuffle_hash"), "blk").select("i", "j", (F.col("v") * F.col("w")).alias("v")), a)
 
 
 def elementwise_mul(a: DataFrame, b: DataFrame) -> DataFrame:

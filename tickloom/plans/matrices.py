@@ -17,7 +17,8 @@ def _embeddings(spark, d):
 
 
 def _counted(spark, d):
-    return _embeddings(spark, d).count()
+    """Rows of the matrix: one more than the largest index, whichever indices are missing."""
+    return (_embeddings(spark, d).agg(F.max("vec_id")).head()[0] or 0) + 1
 
 
 def _first_column(spark, d):
@@ -206,7 +207,7 @@ def elementwise_mul_div(spark, d):
     return b.rounded(mx.elementwise_div(mx.elementwise_mul(cells, _next(cells)), _next(cells)), "v")
 
 
-GRID = "(SELECT i, unnest(range(0, 10)) AS j FROM (SELECT unnest(range(0, (SELECT count(*) FROM embeddings))) AS i))"
+GRID = "(SELECT i, unnest(range(0, 10)) AS j FROM (SELECT unnest(range(0, (SELECT max(vec_id) + 1 FROM embeddings))) AS i))"
 
 
 @query("fill_matrix", f"SELECT i, j, 0.0::DOUBLE AS zero, 1.0::DOUBLE AS one FROM {GRID}")
@@ -215,13 +216,13 @@ def fill_matrix(spark, d):
     return zeros.withColumn("one", F.lit(1.0))
 
 
-@query("identity_matrix", "SELECT i, i AS j, 1.0::DOUBLE AS v FROM (SELECT unnest(range(0, (SELECT count(*) FROM embeddings))) AS i)")
+@query("identity_matrix", "SELECT i, i AS j, 1.0::DOUBLE AS v FROM (SELECT unnest(range(0, (SELECT max(vec_id) + 1 FROM embeddings))) AS i)")
 def identity_matrix(spark, d):
     return mx.identity(spark, _counted(spark, d))
 
 
 @query("fill_ndarray", """SELECT i0, i1, unnest(range(0, 3)) AS i2, 7 AS v FROM (SELECT i0, unnest(range(0, 3)) AS i1
-FROM (SELECT unnest(range(0, (SELECT count(*) FROM embeddings))) AS i0))""")
+FROM (SELECT unnest(range(0, (SELECT max(vec_id) + 1 FROM embeddings))) AS i0))""")
 def fill_ndarray(spark, d):
     return mx.fill(spark, (_counted(spark, d), 3, 3), 7)
 
@@ -249,15 +250,15 @@ def diag_from_vector(spark, d):
     return mx.diag_from_vector(_first_column(spark, d))
 
 
-@query("flatten", f"{VEC} SELECT i + j * (SELECT count(*) FROM embeddings) AS pos, v FROM vec")
+@query("flatten", f"{VEC} SELECT i + j * (SELECT max(vec_id) + 1 FROM embeddings) AS pos, v FROM vec")
 def flatten(spark, d):
     return mx.flatten(b.vector_cells(spark, d), (_counted(spark, d), WIDTH), "F")
 
 
-@query("densify", f"""{VEC} SELECT g.i, g.j, CASE WHEN v.v > 0 THEN v.v ELSE 0.0::DOUBLE END AS v
+@query("densify", f"""{VEC} SELECT g.i, g.j, CASE WHEN v.v <> 0 THEN v.v ELSE 0.0::DOUBLE END AS v
 FROM (SELECT i, unnest(range(0, 64)) AS j FROM (SELECT vec_id AS i FROM embeddings)) g JOIN vec v USING (i, j)""")
 def densify(spark, d):
-    return mx.densify(b.vector_cells(spark, d).where("v > 0"), (_counted(spark, d), WIDTH))
+    return mx.densify(b.vector_cells(spark, d).where("v <> 0"), (_counted(spark, d), WIDTH))
 
 
 @query("array_fill", """SELECT n_nationkey, CAST(CAST(n_regionkey + 1 AS DOUBLE) AS DOUBLE) AS v, unnest(range(0, (n_regionkey + 1) * (n_regionkey + 1))) AS place

@@ -9,6 +9,7 @@ from tickloom.operators import reshape as rs
 from tickloom.operators import rows as rw
 from tickloom.plans import base as b
 from tickloom.plans.registry import query
+from tickloom.session import materialize
 
 P = [f"p{i}" for i in range(1, 6)]
 
@@ -176,9 +177,9 @@ def top_n(spark, d):
 def sort_multi(spark, d):
     c = b.table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     ordered = rw.sort_multi(c, F.asc("c_nationkey"), F.desc("c_acctbal"), tie_cols=["c_custkey"])
-    # the place in the sorted order makes the order itself part of the compared result
-    return rw.row_positions(ordered.withColumn("_down", -F.col("c_acctbal")),
-                            ["c_nationkey", "_down", "c_custkey"], name="place").drop("_down")
+    # the row number that the sorted output gives makes the order itself part of the compared result
+    numbered = materialize(ordered.withColumn("_at", F.monotonically_increasing_id()), "sorted")
+    return rw.row_positions(numbered, ["_at"], name="place").drop("_at")
 
 
 @query("union_all", f"WITH {b.PX} SELECT date, symbol, price FROM px")
