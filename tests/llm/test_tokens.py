@@ -81,6 +81,8 @@ def test_counts_follow_edits(spark, tokenizer, hard):
     trees = counting.build_trees(docs, "doc_id", "text", queries.derived_edits().alias("edits"))
     plan = {r.doc_id: r for r in trees.where("id is not null").select(F.col("id").alias("doc_id"), "text", "edits").collect()}
     done = counting.apply_edits(trees).where("id is not null").collect()
+    both = counting.recount(docs, queries.derived_edits()).where("id is not null").collect()
+    assert sorted(map(str, both)) == sorted(map(str, done))
     for r in done:
         before = plan[r.id]
         if r.n_before != len(ids_of(tokenizer, before.text)):  # a repeated id

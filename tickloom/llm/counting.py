@@ -66,8 +66,8 @@ class Document:
     def __init__(self, text: str, chars: np.ndarray, counts: np.ndarray):
         self.text, self.chars, self.counts = text, chars, counts
 
-    def edit(self, encoder, at: int, drop: int, put: str) -> int:
-        """Apply one edit; returns how many characters were encoded again."""
+    def open(self, at: int, drop: int, put: str) -> str:
+        """Change the text; returns the region to encode again and keeps its place in ``region``."""
         total, size = len(self.text), len(self.chars) // 2
         at = min(max(at, 0), total)
         end = min(at + max(drop, 0), total)
@@ -82,14 +82,18 @@ class Document:
             stop += int(self.chars[size + high])
         region = self.text[begin:at] + put + self.text[end:stop]
         self.text = self.text[:begin] + region + self.text[stop:]
-        chars, counts = leaf_sums(encoder, [region], high - low + 1)[0]
-        renew(self.chars, low, np.pad(chars, (0, high - low + 1 - len(chars))))
-        renew(self.counts, low, np.pad(counts, (0, high - low + 1 - len(counts))))
-        return len(region)
+        self.region = (low, high - low + 1)
+        return region
 
+    def close(self, chars: np.ndarray, counts: np.ndarray) -> None:
+        """Set the sums of the region's leaves and all above them."""
+        low, leaves = self.region
+        renew(self.chars, low, np.pad(chars, (0, leaves - len(chars))))
+        renew(self.counts, low, np.pad(counts, (0, leaves - len(counts))))
 
-def leaf_sums(encoder, texts, leaves: int | None = None) -> list:
-    """Per text: characters and tokens of its leaves, of ``LEAF_UNITS`` units or in ``leaves`` parts."""
+
+def leaf_sums(encoder, texts, leaves: list | None = None) -> list:
+    """Per text: characters and tokens of its leaves, of ``LEAF_UNITS`` units each or in ``leaves[i]`` parts."""
     out = []
     for _, data, offsets in vec.slices(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), tokens.SLICE_BYTES):
         start, end, first = tokens.units(data, offsets)
@@ -97,25 +101,73 @@ def leaf_sums(encoder, texts, leaves: int | None = None) -> list:
         is_char = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         byte = np.append(start, len(data))
         for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-            step = LEAF_UNITS if leaves is None else max(1, -(-(b - a) // leaves))
+            step = LEAF_UNITS if leaves is None else max(1, -(-(b - a) // leaves[len(out)]))
             cut = np.append(np.arange(a, b, step), b)
             out.append((np.diff(is_char[byte[cut]]), np.diff(total[cut])))
     return out
 
 
+def _trees(encoder, texts: pa.Array) -> list:
+    return [(heap(chars), heap(counts)) for chars, counts in leaf_sums(encoder, texts)]
+
+
+def _edited(encoder, documents: list, edits: list) -> list:
+    """Apply each document's edits; returns the characters encoded again. The regions of all documents' next edits
+    are encoded together."""
+    queues = [sorted(enumerate(e or []), key=lambda x: (x[1]["at"] or 0, x[0])) for e in edits]
+    encoded = [0] * len(documents)
+    while any(queues):
+        active = [i for i, q in enumerate(queues) if q]
+        regions = []
+        for i in active:
+            _, e = queues[i].pop()
+            regions.append(documents[i].open(e["at"] or 0, e["drop"] or 0, e["put"] or ""))
+            encoded[i] += len(regions[-1])
+        sums = leaf_sums(encoder, regions, [documents[i].region[1] for i in active])
+        for i, s in zip(active, sums):
+            documents[i].close(*s)
+    return encoded
+
+
+ROWS_AT_ONCE = 1_000
+LISTS = {c: T.StructField(c, T.ArrayType(T.LongType())) for c in ("chars", "counts")}
+REPORT = [T.StructField(c, T.LongType()) for c in ("n_before", "encoded_chars")]
+
+
+def _pieces(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
+def _apply(encoder, batch, trees):
+    """The result rows of a batch with columns ``id, text, edits`` and the tree of every row."""
+    documents = [Document(t, *tree) for t, tree in zip(batch.column("text").to_pylist(), trees)]
+    before = [int(d.counts[1]) for d in documents]
+    encoded = _edited(encoder, documents, batch.column("edits").to_pylist())
+    trees = [pa.array([getattr(d, c) for d in documents], pa.list_(pa.int64())) for c in LISTS]
+    return pa.RecordBatch.from_arrays(
+        [batch.column("id"), pa.array([d.text for d in documents], pa.string()), *trees, pa.array(before, pa.int64()),
+         pa.array(encoded, pa.int64())], names=["id", "text", *LISTS, "n_before", "encoded_chars"])
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), *more)
+
+
 def build_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more,
                 vocabulary: str = tokens.VOCABULARY) -> DataFrame:
-    """``id, text, chars, counts, …``: every document with its tree. ``more`` are columns to carry along."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), *more)
+    """``id, text, …, chars, counts``: every document with its tree. ``more`` are columns to carry along."""
+    rows = _rows(docs, id_col, text_col, *more)
 
-    def build(batches):
+    def run(batches):
         encoder = tokens.encoder(vocabulary)
-        for batch in batches:
-            sums = leaf_sums(encoder, batch.column("text"))
-            trees = [pa.array([heap(s[k]) for s in sums], pa.list_(pa.int64())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *trees], names=[*batch.schema.names, "chars", "counts"])
+        for batch in _pieces(batches):
+            trees = zip(*_trees(encoder, batch.column("text")))
+            lists = [pa.array(list(t), pa.list_(pa.int64())) for t in trees] or [pa.array([], pa.list_(pa.int64()))] * 2
+            yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=[*batch.schema.names, *LISTS])
 
-    return rows.mapInArrow(build, T.StructType([*rows.schema.fields, *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("chars", "counts"))]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *LISTS.values()]))
 
 
 def token_counts(trees: DataFrame) -> DataFrame:
@@ -123,35 +175,37 @@ def token_counts(trees: DataFrame) -> DataFrame:
     return trees.select("id", F.element_at("counts", 2).alias("n_tokens"))
 
 
-def attach_edits(trees: DataFrame, edits: DataFrame) -> DataFrame:
-    """Trees with an ``edits`` array from a table ``(id, seq, at, drop, put)``; ids must be unique in ``trees``."""
+def attach_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
+    """Rows with an ``id`` get an ``edits`` array from a table ``(id, seq, at, drop, put)``; ids must be unique in
+    ``docs``. The edits of one document are one list, since they follow each other."""
     row = F.struct("seq", *[F.col(c).cast(t).alias(c) for c, t in (("at", "long"), ("drop", "long"), ("put", "string"))])
     per_doc = edits.groupBy("id").agg(F.sort_array(F.collect_list(row)).alias("e")).select(
         "id", F.transform("e", lambda e: F.struct(e["at"].alias("at"), e["drop"].alias("drop"), e["put"].alias("put"))).alias("edits"))
-    return trees.join(per_doc, "id", "left")
+    return docs.join(per_doc, "id", "left")
 
 
 def apply_edits(trees: DataFrame, vocabulary: str = tokens.VOCABULARY) -> DataFrame:
     """``id, text, chars, counts`` after the row's ``edits`` (a missing list changes nothing), ``n_before``, and
     ``encoded_chars``, the characters that were encoded again."""
-    rows = trees.select("id", "text", "chars", "counts", "edits")
-    schema = T.StructType([*rows.drop("edits").schema.fields, *(T.StructField(c, T.LongType()) for c in ("n_before", "encoded_chars"))])
+    rows = trees.select("id", "text", "edits", "chars", "counts")
+
+    def run(batches):
+        encoder = tokens.encoder(vocabulary)
+        for batch in _pieces(batches):
+            pairs = zip(*([v.values.to_numpy().copy() for v in batch.column(c)] for c in LISTS))
+            yield _apply(encoder, batch, pairs)
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["id"], rows.schema["text"], *LISTS.values(), *REPORT]))
+
+
+def recount(docs: DataFrame, edits, id_col: str = "doc_id", text_col: str = "text",
+            vocabulary: str = tokens.VOCABULARY) -> DataFrame:
+    """``build_trees`` and ``apply_edits`` in one pass, for edits that are a column of the rows themselves."""
+    rows = _rows(docs, id_col, text_col, edits.alias("edits"))
 
     def run(batches):
         encoder = tokens.encoder(vocabulary)
-        for batch in batches:
-            cols = {c: [] for c in ("text", "chars", "counts", "n_before", "encoded_chars")}
-            edits = batch.column("edits").to_pylist()
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                doc = Document(text, *(np.array(batch.column(c)[i].values) for c in ("chars", "counts")))
-                cols["n_before"].append(int(doc.counts[1]))
-                order = sorted(enumerate(edits[i] or []), key=lambda e: (e[1]["at"] or 0, e[0]), reverse=True)
-                cols["encoded_chars"].append(sum(doc.edit(encoder, e["at"] or 0, e["drop"] or 0, e["put"] or "") for _, e in order))
-                for c in ("text", "chars", "counts"):
-                    cols[c].append(getattr(doc, c))
-            types = {"text": pa.string(), "chars": pa.list_(pa.int64()), "counts": pa.list_(pa.int64())}
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(v, types.get(c, pa.int64())) for c, v in cols.items())],
-                names=["id", *cols])
-
-    return rows.mapInArrow(run, schema)
+        for batch in _pieces(batches):
+            yield _apply(encoder, batch, _trees(encoder, batch.column("text")))
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["id"], rows.schema["text"], *LISTS.values(), *REPORT]))

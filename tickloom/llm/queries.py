@@ -65,8 +65,7 @@ def derived_edits():
 
 @query("op5_edit_aware_token_counts")
 def op5(spark, d):
-    trees = counting.build_trees(documents(spark, d), "doc_id", "text", derived_edits().alias("edits"))
-    done = counting.apply_edits(trees)
+    done = counting.recount(documents(spark, d), derived_edits())
     return done.select(F.col("id").alias("doc_id"), F.col("n_before").alias("n_tokens"),
                        F.element_at("counts", 2).alias("n_tokens_after"), F.length("text").cast("long").alias("n_chars_after"),
                        "encoded_chars")
