@@ -2,46 +2,28 @@
 
 from pyspark.sql import functions as F
 
-from tickloom.llm import counting, exact, licenses, minhash, mixing, neighbours, packing, quality, secrets, substring
+from tickloom.llm import counting, exact, licenses, minhash, mixing, neighbours, packing, quality, secrets, sql, substring
 from tickloom.llm.common import documents
 
 QUERIES, SQL = {}, {}
 
 
-def query(name, sql=None):
+def query(name, text=None):
     def add(fn):
         QUERIES[name] = fn
-        if sql:
-            SQL[name] = sql
+        if text:
+            SQL[name] = text
         return fn
 
     return add
 
 
-@query("op4_source_mixing", r"""
-WITH d AS (SELECT doc_id, source, length(regexp_replace(ltrim(coalesce(text, ''), E' \t\n\x0b\x0c\r'),
-    '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*', 'x', 'g'))::BIGINT AS size FROM documents),
-s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM d GROUP BY source),
-w AS (SELECT *, (sid - 1) % 3 + 1 AS weight, source_size * 3 AS cap FROM s),
-r AS (SELECT *, cap / weight AS room FROM w),
-l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0))::DOUBLE AS level,
-    row_number() OVER (ORDER BY room, sid) AS place FROM r WINDOW b AS (ORDER BY room, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS (SELECT *, least(cap::DOUBLE, (SELECT arg_min(level, place) FROM l WHERE level <= room) * weight) AS target FROM l),
-p AS (SELECT source, source_size, target, least(floor(target + 0.5)::BIGINT, cap) AS take FROM t),
-q AS (SELECT *, CASE WHEN source_size > 0 THEN take // source_size ELSE 0 END AS passes, CASE WHEN source_size > 0 THEN take % source_size ELSE 0 END AS rest FROM p),
-o AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.passes, q.rest,
-    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix-1' || coalesce(d.doc_id::VARCHAR, '')), d.doc_id NULLS FIRST, d.size
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
-  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
-SELECT doc_id, size, source_size, target, (size * passes + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM o""")
+@query("op4_source_mixing", sql.OP4)
 def op4(spark, d):
     return mixing.mix_plan(documents(spark, d)).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-@query("op10_exact_dedup", r"""
-WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
-SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
-  doc_id IS NOT DISTINCT FROM min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""")
+@query("op10_exact_dedup", sql.OP10)
 def op10(spark, d):
     return exact.duplicate_report(documents(spark, d)).withColumnRenamed("id", "doc_id")
 
@@ -90,13 +72,13 @@ def op6(spark, d):
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-@query("op2_minhash_near_duplicates")
+@query("op2_minhash_near_duplicates", sql.OP2)
 def op2(spark, d):
     found = minhash.near_duplicates(documents(spark, d), width=3, percent=85)
     return found.withColumnRenamed("id", "doc_id")
 
 
-@query("op3_substring_dedup")
+@query("op3_substring_dedup", sql.OP3)
 def op3(spark, d):
     return substring.remove_repeats(documents(spark, d)).select(
         F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
