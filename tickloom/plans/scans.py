@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions import scalar as sc
 from tickloom.operators import nested as ns
 from tickloom.plans import base as b
 from tickloom.plans import documents as dc
@@ -64,6 +65,24 @@ def scan_partitioned_union(spark, d):
     return tx.scan_quarters(spark, path, "o_orderkey long, o_totalprice double")
 
 
+@query("scan_quarter_tables", """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority,
+  CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS o_totalprice, CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN o_custkey END AS o_custkey,
+  CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS quarter,
+  CASE o_orderstatus WHEN 'F' THEN 'sub' WHEN 'O' THEN 'pre' ELSE 'num' END AS tbl FROM orders""")
+def scan_quarter_tables(spark, d):
+    """Three tables with columns of their own, and a folder that holds no quarter."""
+    day, status, path = F.col("o_orderdate"), F.col("o_orderstatus"), scratch_path(spark, "quarter-tables")
+    columns = {"sub": ["o_orderkey", "o_orderpriority"], "pre": ["o_orderkey", "o_totalprice"], "num": ["o_orderkey", "o_totalprice", "o_custkey"]}
+    rows = {"sub": status == "F", "pre": status == "O", "num": ~status.isin("F", "O")}
+    orders = b.table(spark, d, "orders").withColumn("period", F.concat(F.year(day), F.lit("q"), F.quarter(day)))
+    for name, cols in columns.items():
+        orders.where(rows[name]).select(*cols, "period", F.lit(f"{name}.txt").alias("tbl")).write.mode("append").partitionBy(
+            "period", "tbl").option("sep", "\t").csv(path)
+    orders.select("o_orderpriority").write.text(f"{path}/notes")
+    types = {"o_orderkey": "long", "o_orderpriority": "string", "o_totalprice": "double", "o_custkey": "long"}
+    return tx.scan_quarter_tables(spark, path, {t: ", ".join(f"{c} {types[c]}" for c in cols) for t, cols in columns.items()})
+
+
 def _zip_orders(spark, d):
     """The orders as zip archives, one per input partition, with a member per year and one that leads outside."""
     path = scratch_path(spark, "zips")
@@ -252,6 +271,15 @@ def scan_csv_date_formats(spark, d):
     return tx.scan_delimited(spark, path, "o_orderkey long, dotted date", sep=",", header=True, dateFormat="yyyy.MM.dd")
 
 
+@query("scan_csv_short_and_iso_dates", """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS short, CAST(o_orderdate AS DATE) AS iso FROM orders""")
+def scan_csv_short_and_iso_dates(spark, d):
+    """Month, day and year of two digits, and ISO dates, through one scan; the century follows from the date given."""
+    dates = b.table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "M/d/yy").alias("short"),
+                                               F.to_date("o_orderdate").alias("iso"))
+    scanned = tx.scan_delimited(spark, _written_csv(spark, dates, "short-dates"), "o_orderkey long, short string, iso date", sep=",", header=True)
+    return scanned.withColumn("short", sc.two_digit_year_date(F.col("short"), "M/d/yy", "2001-12-31"))
+
+
 @query("scan_fixed_width", """SELECT s_suppkey AS key, CASE WHEN s_nationkey <> 3 THEN s_name END AS name,
   CASE WHEN s_nationkey <> 4 THEN s_nationkey END AS nation, s_nationkey = 4 AS wrong FROM supplier""")
 def scan_fixed_width(spark, d):

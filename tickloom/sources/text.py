@@ -1,6 +1,7 @@
 """Delimited, fixed-width and JSON text scans, and their sinks."""
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,16 @@ def scan_quarters(spark: SparkSession, base: str, schema, **options) -> DataFram
                          F.regexp_extract(path, at, 3).alias("tbl")).where("year IS NOT NULL")
 
 
+def scan_quarter_tables(spark: SparkSession, base: str, schemas: dict, **options) -> DataFrame:
+    """The named tables of all quarters, each read with its own schema, as one table of all their columns.
+
+    ``schemas`` maps a table's name to its schema; a column that a table lacks is missing in its rows. Only the files
+    of these tables are opened.
+    """
+    tables = [scan_quarters(spark, f"{base}/*q[1-4]/{{{name}.txt,tbl={name}.txt}}", schema, **options) for name, schema in schemas.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
 def scan_csv_strict(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
     """Rows with too few or too many fields, or a value of another type, keep their text in ``_corrupt_record``."""
     checked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
