@@ -12,9 +12,9 @@ of fewer words has its whole sequence as its one element, one without words has
 4. Candidates are confirmed on the full sets. Confirmed links make components.
 5. A star leaves out pairs of members that the centre does not link. An exact way handles the rest: a bucket whose
    members are in one component needs nothing more; in the others, members outside the largest component are compared
-   with all members of other components, by their signatures, in blocks of bounded size. Pairs whose signatures could
-   belong to a link are confirmed on the full sets as well: first the most similar ones, since most buckets close
-   then, and finally all that are left.
+   with all members of other components in blocks of bounded size: first by size and signature, each pair in the first
+   band it shares; then those members for which a partner is left bring their full sets into the block, where all
+   their links are found. Of these a member reports one per component, so what leaves a block is bounded as well.
 
 Nothing is sampled or capped. What remains to chance is the hashing: 64-bit collisions, the bands (step 3), and the
 signature test (step 5), which lets pass whatever is within five standard deviations of the threshold.
@@ -40,7 +40,7 @@ from tickloom.session import materialize
 BAND = 4
 MISS = 1e-6
 BLOCK = 512
-BEST = 4
+BLOCK_ELEMENTS = 1 << 19
 OTHER_BASE = np.uint64(0xD1342543DE82EF95)
 OTHER_INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
 
@@ -96,7 +96,7 @@ class Sketcher:
         four = mixed.reshape(len(mixed), self.bands, BAND).sum(axis=2, dtype=np.uint64)
         eight = four.reshape(len(mixed), -1, 2).sum(axis=2, dtype=np.uint64)
         sixteen = four.reshape(len(mixed), -1, 4).sum(axis=2, dtype=np.uint64)
-        parts = [vec.mix(p + np.uint64(level) * OTHER_BASE) for level, p in enumerate((four, eight, sixteen), 1)]
+        parts = [vec.mix(p + np.uint64(level * int(OTHER_BASE) % (1 << 64))) for level, p in enumerate((four, eight, sixteen), 1)]
         return np.concatenate(parts, axis=1).view(np.int64)
 
 
@@ -130,16 +130,9 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int
     return materialize(rows.mapInArrow(run, schema), "minhash-sketch")
 
 
-def confirm(edges: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """``a, b, linked`` of every edge ``(a, b)``, written: the full sets of both ends are compared.
-
-    The sets of all ends are made once. A node with very many edges is dealt over salts by the other end, and its set
-    is copied only to the salts that its edges fall on.
-    """
-    spark = edges.sparkSession
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ends = materialize(edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct(), "minhash-ends")
-    rows = lookup(_texts(docs, id_col, text_col), ends, "id", "left_semi")
+def element_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """``id, s``, written: the whole sets of the rows of ``docs`` with these ids."""
+    rows = lookup(_texts(docs, id_col, text_col), materialize(ids, "minhash-ends"), "id", "left_semi")
 
     def run(batches):
         for batch in batches:
@@ -150,7 +143,18 @@ def confirm(edges: DataFrame, docs: DataFrame, id_col: str, text_col: str, width
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(row, len(sets)), pa.ListArray.from_arrays(at, pa.array(np.concatenate(sets).view(np.int64)))], names=["id", "s"])
 
-    sets = materialize(rows.mapInArrow(run, T.StructType([rows.schema["id"], T.StructField("s", T.ArrayType(T.LongType()))])), "minhash-sets")
+    schema = T.StructType([rows.schema["id"], T.StructField("s", T.ArrayType(T.LongType()))])
+    return materialize(rows.mapInArrow(run, schema), "minhash-sets")
+
+
+def confirm(edges: DataFrame, percent: int, sets_of) -> DataFrame:
+    """``a, b, linked`` of every edge ``(a, b)``, written: the full sets of both ends are compared.
+
+    The sets of all ends are made once. A node with very many edges is dealt over salts by the other end, and its set
+    is copied only to the salts that its edges fall on.
+    """
+    salts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sets = sets_of(edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct())
     dealt = edges.select("a", "b").withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)))
     left = sets.withColumnsRenamed({"id": "a", "s": "sa"}).join(dealt.select("a", "salt").distinct(), "a")
     right = dealt.join(sets.withColumnsRenamed({"id": "b", "s": "sb"}), "b")
@@ -165,7 +169,7 @@ def _sizes_fit(x, y, percent):
 
 
 def stars(classes: DataFrame, bands: int, percent: int):
-    """``(edges, rows)``: the candidate edges, and the rows ``key, node, n, centre, size`` of buckets of four bins
+    """``(edges, rows)``: the candidate edges, and the rows ``key, band, node, n, centre, size`` of buckets of four bins
     with three members or more; both written."""
     each = classes.select("node", "n", F.posexplode("keys").alias("band", "key"))
     centres = each.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre"),
@@ -173,67 +177,104 @@ def stars(classes: DataFrame, bands: int, percent: int):
     members = materialize(each.join(centres, "key").select("key", "band", "node", "n", "centre", "centre_n", "size"), "minhash-members")
     edges = members.where((F.col("node") != F.col("centre")) & _sizes_fit(F.col("n"), F.col("centre_n"), percent)).select(
         F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    return materialize(edges, "minhash-edges"), members.where((F.col("band") < bands) & (F.col("size") > 2)).drop("band", "centre_n")
+    return materialize(edges, "minhash-edges"), members.where((F.col("band") < bands) & (F.col("size") > 2)).drop("centre_n")
 
 
-def rest_pairs(rows: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, best: int | None) -> DataFrame:
-    """``a, b``: pairs that share a bucket, are in different components, and could be links by size and signature;
-    ``best`` keeps the most similar ones of each block and member."""
-    known = lookup(lookup(rows, labels, "node"), classes.select("node", "sig"), "node", "inner")
+def rest_links(rows: DataFrame, classes: DataFrame, labels: DataFrame, bands: int, percent: int, sets_of) -> DataFrame:
+    """``a, b``: links between members of a bucket that are in different components, enough of them to join all
+    components that any link joins; written.
+
+    ``sets_of`` gives ``id, s`` for a table of ids. Blocks pair about ``BLOCK`` members that ask with as many that answer,
+    or fewer when their sets hold more than ``BLOCK_ELEMENTS`` elements together.
+    """
+    known = lookup(lookup(rows, labels, "node"), classes.select("node", "sig", F.slice("keys", 1, bands).alias("keys")), "node", "inner")
     known = known.withColumn("component", F.coalesce("component", "node"))
-    parts = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
-    opened = parts.groupBy("key").agg(F.max(F.struct("held", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    opened = materialize(opened.select("key", "main.held", F.col("main.component").alias("main")), "minhash-open")
+    parts = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("held_n"))
+    opened = parts.groupBy("key").agg(F.max(F.struct("held", "component", "held_n")).alias("main"), F.sum("held_n").alias("total_n"),
+                                      F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    opened = materialize(opened.select("key", "main.held", "main.held_n", "total_n", F.col("main.component").alias("main")), "minhash-open")
     here = lookup(known, opened, "key", "inner").withColumn("rest", F.col("component") != F.col("main"))
-    blocks, rest_blocks = F.ceil(F.col("size") / BLOCK), F.ceil((F.col("size") - F.col("held")) / BLOCK)
-    mine = F.struct("node", "n", "component", "sig", "rest", (F.col("node") == F.col("centre")).alias("is_centre"))
-    turns = {
-        True: here.where("rest").select("key", mine.alias("m"), F.pmod(F.xxhash64("node"), rest_blocks).alias("rb"),
-                                        F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("mb")),
-        False: here.select("key", mine.alias("m"), F.explode(F.sequence(F.lit(0).cast("long"), rest_blocks - 1)).alias("rb"),
-                           F.pmod(F.xxhash64("node", F.lit(1)), blocks).alias("mb")),
-    }
-    both = [df.select("key", "rb", "mb", F.lit(asks).alias("asks"), "m.*") for asks, df in turns.items()]
+
+    def blocks_for(members, elements):
+        return F.greatest(F.ceil(members / BLOCK), F.ceil(elements / BLOCK_ELEMENTS))
+
+    blocks = blocks_for(F.col("size"), F.col("total_n"))
+    rest_blocks = blocks_for(F.col("size") - F.col("held"), F.col("total_n") - F.col("held_n"))
+    mine = ["band", "node", "n", "component", "sig", "keys", "rest", (F.col("node") == F.col("centre")).alias("is_centre")]
+    asking = here.where("rest").select("key", F.pmod(F.xxhash64("node"), rest_blocks).alias("rb"), F.explode(
+        F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("mb"), F.lit(True).alias("asks"), *mine)
+    answering = here.select("key", F.explode(F.sequence(F.lit(0).cast("long"), rest_blocks - 1)).alias("rb"),
+                            F.pmod(F.xxhash64("node", F.lit(1)), blocks).alias("mb"), F.lit(False).alias("asks"), *mine)
     group = ["key", "rb", "mb"]
-    dealt = both[0].unionByName(both[1]).repartition(*group).sortWithinPartitions(*group)
 
-    def compare(table):
-        asks = table["asks"]
+    def blockwise(df, fn, schema):
+        def run(batches):
+            for table in _groups(batches, group):
+                found = fn(table, table["asks"])
+                if len(found[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], names=schema.names)
+
+        return df.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, schema)
+
+    def possible(table, asks):
+        """The members with a partner that could be a link by size and signature, in the first band they share."""
         x, y = ({c: v[m] for c, v in table.items()} for m in (asks, ~asks))
-        agree = np.zeros((len(x["node"]), len(y["node"])), np.int32)
-        for i in range(len(agree)):
-            agree[i] = (y["sig"] == x["sig"][i]).sum(axis=1)
+        bins, band = table["sig"].shape[1], int(table["band"][0])
         small = np.minimum(x["n"][:, None], y["n"])
-        bins = table["sig"].shape[1]
         spread = math.sqrt(percent / 100 * (1 - percent / 100) / bins) * np.where(small < 4 * bins, 8, 5)
-        ok = (x["component"][:, None] != y["component"]) & (agree >= (percent / 100 - spread) * bins)
+        ok = (x["component"][:, None] != y["component"]) & ~x["is_centre"][:, None] & ~y["is_centre"]
         ok &= 100 * small >= percent * np.maximum(x["n"][:, None], y["n"])
         ok &= ~y["rest"] | (x["node"][:, None] < y["node"])
-        ok &= ~x["is_centre"][:, None] & ~y["is_centre"]
-        if best:
-            agree = np.where(ok, agree, -1)
-            top = np.argpartition(-agree, min(best, agree.shape[1]) - 1, axis=1)[:, :best] if agree.size else np.zeros((0, 0), int)
-            chosen = np.zeros_like(ok)
-            np.put_along_axis(chosen, top, True, axis=1)
-            ok &= chosen
-        i, j = np.nonzero(ok)
-        return np.minimum(x["node"][i], y["node"][j]), np.maximum(x["node"][i], y["node"][j])
-
-    def run(batches):
-        for table in _groups(batches, group):
-            a, b = compare(table)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+        for i in np.flatnonzero(ok.any(axis=1)).tolist():
+            ok[i] &= (y["sig"] == x["sig"][i]).sum(axis=1) >= (percent / 100 - spread[i]) * bins
+            ok[i] &= ~(y["keys"][:, :band] == x["keys"][i, :band]).any(axis=1)
+        i, j = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
+        at = np.concatenate([np.flatnonzero(asks)[i], np.flatnonzero(~asks)[j]])
+        return [table[c][at] for c in schema.names]
+
+    schema = T.StructType.fromDDL("key long, rb long, mb long, asks boolean, node long, component long")
+    needed = materialize(blockwise(asking.unionByName(answering), possible, schema), "minhash-rest")
+    sets = sets_of(needed.select(F.col("node").alias("id")).distinct())
+
+    def linked(table, asks):
+        """For every member that asks, one link to each component it is linked with."""
+        codes = np.unique(np.concatenate(table["s"]), return_inverse=True)[1] if len(asks) else np.zeros(0, np.int64)
+        size = np.array([len(v) for v in table["s"]])
+        at = np.concatenate([[0], np.cumsum(size)])
+        answers = np.flatnonzero(~asks)
+        theirs = np.concatenate([codes[at[j]:at[j + 1]] for j in answers]) if len(answers) else codes[:0]
+        begin = np.concatenate([[0], np.cumsum(size[answers])[:-1]]).astype(np.int64)
+        a, b = [], []
+        held = np.zeros(int(codes.max()) + 1 if len(codes) else 1, np.int32)
+        for i in np.flatnonzero(asks).tolist() if len(answers) else ():
+            held[codes[at[i]:at[i + 1]]] = 1
+            common = np.add.reduceat(held[theirs], begin)
+            held[codes[at[i]:at[i + 1]]] = 0
+            link = 100 * common >= percent * (size[i] + size[answers] - common)
+            link &= table["component"][answers] != table["component"][i]
+            other = answers[link]
+            for j in other[np.unique(table["component"][other], return_index=True)[1]].tolist():
+                a.append(min(table["node"][i], table["node"][j]))
+                b.append(max(table["node"][i], table["node"][j]))
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+    whole = needed.join(sets.withColumnRenamed("id", "node"), "node").select(*schema.names, "s")
+    return materialize(blockwise(whole, linked, T.StructType.fromDDL("a long, b long")).distinct(), "minhash-rest-links")
 
 
 def _groups(batches, group):
-    """Consecutive rows with the same values in ``group``, as arrays by column name; ``sig`` is a byte matrix."""
+    """Consecutive rows with the same values in ``group``, as arrays by column name: ``sig`` and ``keys`` are matrices,
+    ``s`` holds one array per row."""
     def columns(table):
-        out = {c: table[c].to_numpy(zero_copy_only=False) for c in table.schema.names if c != "sig"}
-        raw = b"".join(table["sig"].to_pylist())
-        return out | {"sig": np.frombuffer(raw, np.uint8).reshape(table.num_rows, -1)}
+        out = {}
+        for c in table.schema.names:
+            if c == "sig":
+                out[c] = np.frombuffer(b"".join(table[c].to_pylist()), np.uint8).reshape(table.num_rows, -1)
+            elif c == "keys":
+                out[c] = table[c].flatten().to_numpy().reshape(table.num_rows, -1)
+            else:
+                out[c] = table[c].to_numpy(zero_copy_only=False)
+        return out
 
     held = None
     for batch in batches:
@@ -241,8 +282,7 @@ def _groups(batches, group):
             continue
         part = columns(batch)
         held = part if held is None else {c: np.concatenate([held[c], part[c]]) for c in part}
-        size = len(held["asks"])
-        change = np.zeros(size, bool)
+        change = np.zeros(len(held["asks"]), bool)
         for c in group:
             change[1:] |= held[c][1:] != held[c][:-1]
         cuts = [0, *np.flatnonzero(change).tolist()]
@@ -255,40 +295,32 @@ def _groups(batches, group):
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     percent: int = 80) -> DataFrame:
-    """Per row: ``id, n_shingles, component_id, n_copies, n_links, kept``.
+    """Per row: ``id, n_shingles, component_id, n_copies, kept``.
 
     Documents are linked when 100 * |intersection| >= ``percent`` * |union| of their sets. ``n_copies`` counts the rows
-    with the same words, ``n_links`` the confirmed edges of their class; ids are whole numbers.
+    with the same words; ids are whole numbers.
     """
     sketched = sketch(docs, id_col, text_col, width, percent)
     some = sketched.where("n > 0 AND id IS NOT NULL")
     classes = materialize(some.groupBy("d1", "d2").agg(
         F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", "sig", "keys")]), "minhash-classes")
     edges, rows = stars(classes, bands_for(percent), percent)
-    judged = confirm(edges, docs, id_col, text_col, width, percent)
-    labels = components(judged.where("linked"))
-    for best in (BEST, None):
-        pairs = rest_pairs(rows, classes, labels, percent, best)
-        fresh = materialize(pairs.join(judged.select("a", "b"), ["a", "b"], "left_anti"), "minhash-rest")
-        if fresh.isEmpty():
-            continue
-        more = confirm(fresh, docs, id_col, text_col, width, percent)
-        judged = judged.unionByName(more)
-        if not more.where("linked").isEmpty():
-            labels = components(judged.where("linked"))
-    links = judged.where("linked")
-    degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(
-        F.count(F.lit(1)).alias("links"))
-    placed = classes.select("d1", "d2", "node", "copies").join(labels.join(degree, "node"), "node", "left").where(
-        "copies > 1 OR component IS NOT NULL")
-    placed = materialize(placed.select("d1", "d2", F.coalesce("component", "node").alias("component"), "copies", "links"), "minhash-placed")
+    def sets_of(ids):
+        return element_sets(ids, docs, id_col, text_col, width)
+
+    links = confirm(edges, percent, sets_of).where("linked").select("a", "b")
+    labels = components(links)
+    more = rest_links(rows, classes, labels, bands_for(percent), percent, sets_of)
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
+    placed = classes.select("d1", "d2", "node", "copies").join(labels, "node", "left").where("copies > 1 OR component IS NOT NULL")
+    placed = materialize(placed.select("d1", "d2", F.coalesce("component", "node").alias("component"), "copies"), "minhash-placed")
     found = lookup(sketched.select("id", "n", "d1", "d2"), placed, ["d1", "d2"])
     linkable = (F.col("n") > 0) & F.col("id").isNotNull()
     component = F.when(linkable, F.coalesce("component", "id")).otherwise(F.col("id"))
     return found.select(
         "id", F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.when(linkable, F.coalesce("copies", F.lit(1).cast("long"))).otherwise(F.lit(1).cast("long")).alias("n_copies"),
-        F.when(linkable, F.coalesce("links", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long")).alias("n_links"),
         component.eqNullSafe(F.col("id")).alias("kept"))
 
 
