@@ -6,7 +6,9 @@ Everything here is per document, so it runs where the document lies; only ``unit
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tickloom.functions.scalar import coerce
 from tickloom.operators.skew import lookup_join
 
 # The fields of a company document and of one unit item, in the order of the target schema.
@@ -146,3 +148,25 @@ def build_map(entries: Column) -> Column:
 def resolve_field(document: Column, path: str, target: str = "string", resolver=F.get_json_object) -> Column:
     """One field of a document, cast to a type. ``resolver`` finds it: any (document, path) → Column."""
     return resolver(document, path).try_cast(target)
+
+
+def write_nested(value: Column, source: T.DataType, target: T.DataType) -> Column:
+    """A list, struct or map of ``source`` type as ``target`` type, at any depth.
+
+    Lists lose their null elements; struct fields are matched by name, one the source lacks is missing; a value whose
+    kind differs from the target's is missing; scalars follow ``coerce``.
+    """
+    if isinstance(target, (T.ArrayType, T.StructType, T.MapType)) and type(source) is not type(target):
+        return F.lit(None).cast(target)
+    if isinstance(target, T.ArrayType):
+        return F.transform(F.array_compact(value), lambda x: write_nested(x, source.elementType, target.elementType))
+    if isinstance(target, T.MapType):
+        return F.map_from_entries(F.transform(F.map_entries(value), lambda e: F.struct(
+            write_nested(e["key"], source.keyType, target.keyType).alias("key"),
+            write_nested(e["value"], source.valueType, target.valueType).alias("value"))))
+    if isinstance(target, T.StructType):
+        held = {f.name: f.dataType for f in source.fields}
+        fields = [(write_nested(value[f.name], held[f.name], f.dataType) if f.name in held else F.lit(None).cast(f.dataType)).alias(f.name)
+                  for f in target.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return coerce(value, source, target)

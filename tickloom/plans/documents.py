@@ -1,6 +1,7 @@
 """Queries: nested documents. One JSON document is derived from every line item, where it lies."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.operators import nested as ns
 from tickloom.operators import schema_merge as sm
@@ -220,6 +221,38 @@ def build_list(spark, d):
     return b.table(spark, d, "lineitem").select(*ID, text.alias("items"))
 
 
+def _rewritten(spark, d, value, target):
+    """``lineitem`` ids and ``value`` written as the type ``target``."""
+    df = b.table(spark, d, "lineitem").select(*ID, value.alias("v"))
+    kind = T.StructType.fromDDL(f"x {target}")[0].dataType
+    return df.select(*ID, ns.write_nested(F.col("v"), df.schema["v"].dataType, kind).alias("v"))
+
+
+@query("build_list_nested", """SELECT l_orderkey, l_linenumber, '[' || l_partkey || CASE WHEN l_discount > 0 THEN ',' || l_suppkey ELSE '' END || ']'
+  || CASE WHEN l_tax > 0 THEN ';[' || l_linenumber || ']' ELSE '' END AS lists, l_suppkey AS supp, l_returnflag AS flag FROM lineitem""")
+def build_list_nested(spark, d):
+    """A list of lists, and in it a list of structs with a list of its own."""
+    numbers = F.array(F.array("l_partkey", F.when(F.col("l_discount") > 0, F.col("l_suppkey"))),
+                      F.when(F.col("l_tax") > 0, F.array(F.col("l_linenumber").cast("long"))))
+    inner = F.struct(F.col("l_suppkey").cast("string").alias("supp"), F.array(F.lit(None).cast("string"), F.col("l_returnflag")).alias("flags"))
+    out = _rewritten(spark, d, F.struct(numbers.alias("n"), F.array(F.lit(None).cast("struct<supp:string,flags:array<string>>"), inner).alias("s")),
+                     "struct<n:array<array<string>>,s:array<struct<supp:bigint,flags:array<string>,none:int>>>")
+    text = F.array_join(F.transform("v.n", lambda x: F.concat(F.lit("["), F.array_join(x, ","), F.lit("]"))), ";")
+    one = F.element_at("v.s", 1)
+    return out.select(*ID, text.alias("lists"), one["supp"].alias("supp"), F.element_at(one["flags"], 1).alias("flag"))
+
+
+@query("build_map_nested", """SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) AS supp, CAST(l_linenumber AS BIGINT) AS line,
+  CAST(NULL AS INTEGER) AS odd FROM lineitem""")
+def build_map_nested(spark, d):
+    """A map of structs that hold a map; the text in place of a map is missing."""
+    value = F.create_map(F.lit("a"), F.struct(F.col("l_suppkey").alias("supp"), F.create_map(F.col("l_returnflag"), F.col("l_linenumber").cast("int")).alias("m"),
+                                              F.lit("text").alias("odd")))
+    out = _rewritten(spark, d, value, "map<string,struct<supp:string,m:map<string,bigint>,odd:map<string,int>>>")
+    a = F.col("v")["a"]
+    return out.select(*ID, a["supp"].alias("supp"), F.element_at(F.map_values(a["m"]), 1).alias("line"), F.element_at(F.map_values(a["odd"]), 1).alias("odd"))
+
+
 @query("build_struct", "SELECT l_orderkey, l_linenumber, l_quantity AS qty, l_returnflag AS flag, l_linestatus AS status FROM lineitem")
 def build_struct(spark, d):
     s = ns.build_struct(qty=F.col("l_quantity"), codes=ns.build_struct(flag=F.col("l_returnflag"), status=F.col("l_linestatus")))
