@@ -22,8 +22,8 @@ from tickloom.llm import vec
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 1
-CACHE_UNITS = 1_000_000
-SLICE_BYTES = 4 << 20
+CACHE_UNITS = 300_000
+SLICE_BYTES = 1 << 20
 
 LETTERS, PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
 LETTERS[[*range(65, 91), *range(97, 123)]] = True

@@ -56,7 +56,8 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES):
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_string())
+    column = column.fill_null("") if column.null_count else column
     if len(column) == 0:
         return
     _, offs, data = column.buffers()
