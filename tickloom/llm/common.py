@@ -27,3 +27,19 @@ def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.translate(text, upper, upper.lower())
+
+
+BATCH_ROWS = 1_000
+
+
+def over_texts(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` for rows that hold texts or sets.
+
+    Such rows are long, so the session's batches are lowered to ``BATCH_ROWS`` rows; the default of 10,000 would hold
+    tens of megabytes several times over in each task. The setting only changes how many rows are handed over at once.
+    """
+    conf = df.sparkSession.conf
+    rows = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if rows <= 0 or rows > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(fn, schema)

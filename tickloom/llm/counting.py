@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm import tokens, vec
+from tickloom.llm.common import over_texts
 
 LEAF_UNITS = 64
 
@@ -167,7 +168,7 @@ def build_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             lists = [pa.array(list(t), pa.list_(pa.int64())) for t in trees] or [pa.array([], pa.list_(pa.int64()))] * 2
             yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=[*batch.schema.names, *LISTS])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *LISTS.values()]))
+    return over_texts(rows, run, T.StructType([*rows.schema.fields, *LISTS.values()]))
 
 
 def token_counts(trees: DataFrame) -> DataFrame:
@@ -195,7 +196,7 @@ def apply_edits(trees: DataFrame, vocabulary: str = tokens.VOCABULARY) -> DataFr
             pairs = zip(*([v.values.to_numpy().copy() for v in batch.column(c)] for c in LISTS))
             yield _apply(encoder, batch, pairs)
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["id"], rows.schema["text"], *LISTS.values(), *REPORT]))
+    return over_texts(rows, run, T.StructType([rows.schema["id"], rows.schema["text"], *LISTS.values(), *REPORT]))
 
 
 def recount(docs: DataFrame, edits, id_col: str = "doc_id", text_col: str = "text",
@@ -208,4 +209,4 @@ def recount(docs: DataFrame, edits, id_col: str = "doc_id", text_col: str = "tex
         for batch in _pieces(batches):
             yield _apply(encoder, batch, _trees(encoder, batch.column("text")))
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["id"], rows.schema["text"], *LISTS.values(), *REPORT]))
+    return over_texts(rows, run, T.StructType([rows.schema["id"], rows.schema["text"], *LISTS.values(), *REPORT]))

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import vec
+from tickloom.llm.common import over_texts
 
 ANCHORS = 2
 MIN_SHARE = 0.6
@@ -96,7 +97,7 @@ def document_frequencies(docs: DataFrame, templates, text_col: str = "text") ->
             held[-1] = batch.num_rows
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(held))), pa.array(held)], names=["word", "n"])
 
-    rows = docs.select(F.col(f"`{text_col}`")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = over_texts(docs.select(F.col(f"`{text_col}`")), count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     counts = {r.word: r.n for r in rows}
     return {w: counts.get(i, 0) for i, w in enumerate(words.words)}, counts.get(len(words.words), 0)
 
@@ -165,7 +166,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
                 yield pa.RecordBatch.from_arrays([ids.slice(row, len(counts)), pa.array(counts), pa.array(matches, match)],
                                                  names=["id", "n_words", "matches"])
 
-    return rows.mapInArrow(
+    return over_texts(rows, 
         run, f"id {id_type}, n_words long, matches array<struct<label:string,start:long,words:int,share:double,phrase:boolean>>")
 
 

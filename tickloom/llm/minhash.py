@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm import vec
-from tickloom.llm.common import lookup
+from tickloom.llm.common import lookup, over_texts
 from tickloom.llm.components import components
 from tickloom.session import materialize
 
@@ -127,7 +127,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int
                     names=["id", "n", "d1", "d2", "sig", "keys"])
 
     schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL("n long, d1 long, d2 long, sig binary, keys array<bigint>")])
-    return materialize(rows.mapInArrow(run, schema), "minhash-sketch")
+    return materialize(over_texts(rows, run, schema), "minhash-sketch")
 
 
 def element_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -144,7 +144,7 @@ def element_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, wi
                     [ids.slice(row, len(sets)), pa.ListArray.from_arrays(at, pa.array(np.concatenate(sets).view(np.int64)))], names=["id", "s"])
 
     schema = T.StructType([rows.schema["id"], T.StructField("s", T.ArrayType(T.LongType()))])
-    return materialize(rows.mapInArrow(run, schema), "minhash-sets")
+    return materialize(over_texts(rows, run, schema), "minhash-sets")
 
 
 def confirm(edges: DataFrame, percent: int, sets_of) -> DataFrame:
@@ -214,7 +214,7 @@ def rest_links(rows: DataFrame, classes: DataFrame, labels: DataFrame, bands: in
                 if len(found[0]):
                     yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], names=schema.names)
 
-        return df.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, schema)
+        return over_texts(df.repartition(*group).sortWithinPartitions(*group), run, schema)
 
     def possible(table, asks):
         """The members with a partner that could be a link by size and signature, in the first band they share."""

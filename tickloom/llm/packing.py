@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import tokens, vec
+from tickloom.llm.common import over_texts
 
 MAX_TOKENS = 2048
 ROWS_PER_BATCH = 20_000
@@ -68,7 +69,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
                 pa.Array.from_buffers(pa.binary(), b - a, [None, offs, raw])],
                 names=["id", "start", "length", "doc_tokens", "ids"])
 
-    pieces = rows.mapInArrow(cut, f"id {id_type}, start long, length long, doc_tokens long, ids binary")
+    pieces = over_texts(rows, cut, f"id {id_type}, start long, length long, doc_tokens long, ids binary")
     return pieces.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm import vec
-from tickloom.llm.common import lookup
+from tickloom.llm.common import lookup, over_texts
 from tickloom.session import materialize
 
 MAX_ROWS = 20_000
@@ -183,7 +183,7 @@ def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 yield pa.RecordBatch.from_arrays([ids.slice(row, len(x)), lists], names=["id", "x"])
 
     schema = T.StructType([rows.schema["id"], T.StructField("x", T.ArrayType(T.DoubleType()))])
-    return materialize(rows.mapInArrow(run, schema), "quality-features")
+    return materialize(over_texts(rows, run, schema), "quality-features")
 
 
 def held_out(doc_id):
@@ -223,4 +223,4 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: floa
             if good:
                 yield batch.filter(pa.array(np.concatenate(good)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return over_texts(docs, run, docs.schema)

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import lookup
+from tickloom.llm.common import lookup, over_texts
 from tickloom.session import materialize
 
 MAX_OWNERS = 3
@@ -82,7 +82,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "owner", "repo")), pa.array(found, pa.list_(SPAN))],
                                              names=["id", "owner", "repo", "found"])
 
-    spans = rows.mapInArrow(run, f"id {id_type}, owner string, repo string, found array<struct<start:long,kind:int,end:long,value:binary,random:boolean>>")
+    spans = over_texts(rows, run, f"id {id_type}, owner string, repo string, found array<struct<start:long,kind:int,end:long,value:binary,random:boolean>>")
     return materialize(spans.withColumn("row_no", F.monotonically_increasing_id()), "secret-spans")
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm import vec
-from tickloom.llm.common import lookup
+from tickloom.llm.common import lookup, over_texts
 from tickloom.session import materialize
 
 WIDTH = 13
@@ -83,7 +83,7 @@ def repeated_map(rows: DataFrame, width: int, bits: int = MAP_BITS) -> np.ndarra
                 _, part = Windows(data, offsets, width).distinct_parts()
                 yield pa.RecordBatch.from_arrays([pa.array(part.view(np.int64))], names=["part"])
 
-    shared = rows.select("text").mapInArrow(run, "part long").groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = over_texts(rows.select("text"), run, "part long").groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     slot = F.col("part").bitwiseAND(F.lit(bits - 1)) + 1
     parts = shared.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
@@ -118,7 +118,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
                     yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
         fields = [T.StructField("h", T.LongType()), T.StructField("id", kind)]
-        return rows.mapInArrow(run, T.StructType(fields + [T.StructField(c, T.IntegerType()) for c in ("tag", "pos")] * with_places))
+        return over_texts(rows, run, T.StructType(fields + [T.StructField(c, T.IntegerType()) for c in ("tag", "pos")] * with_places))
 
     lowest = passing(False).groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     lowest = materialize(lowest.select("h", "low"), "repeated-windows")
@@ -136,7 +136,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tag"), *lists], names=["id", "tag", "starts", "ends"])
 
     schema = T.StructType([T.StructField("id", kind), *T.StructType.fromDDL("tag int, starts array<int>, ends array<int>")])
-    return materialize(places.mapInArrow(merge, schema), "removed-intervals")
+    return materialize(over_texts(places, merge, schema), "removed-intervals")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -171,4 +171,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL(
         "n_words long, n_removed long, kept string, starts array<int>, ends array<int>")])
-    return rows.select("id", "text", parsed.alias("cuts")).mapInArrow(run, schema)
+    return over_texts(rows.select("id", "text", parsed.alias("cuts")), run, schema)
