@@ -36,7 +36,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all copies, each a sequence of its own, with their token ids."""
-    return packing.pack(docs).select(
+    return packing.pack(docs, added=True).select(
         F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")
 
 

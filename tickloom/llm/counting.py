@@ -6,7 +6,8 @@ characters and tokens of every subtree; it is stored beside the document.
 
 An edit ``(at, drop, put)`` replaces ``drop`` characters at character ``at`` by ``put``. The leaves that it touches
 are found by going down the tree; they are widened by one leaf on either side where the edit reaches their border,
-since a border is only safe while the characters on both sides of it stay. That region alone is encoded again,
+since a border is only safe while the characters on both sides of it stay. With added tokens they are widened until
+no mark that the edit completes can lie across a border. That region alone is encoded again,
 its units are dealt over the same leaf slots, and the sums above them are renewed.
 
 Defined results: a missing text is empty and counts 0 tokens; edits of a document are applied from the largest ``at``
@@ -67,18 +68,19 @@ class Document:
     def __init__(self, text: str, chars: np.ndarray, counts: np.ndarray):
         self.text, self.chars, self.counts = text, chars, counts
 
-    def open(self, at: int, drop: int, put: str) -> str:
-        """Change the text; returns the region to encode again and keeps its place in ``region``."""
+    def open(self, at: int, drop: int, put: str, reach: int = 1) -> str:
+        """Change the text; returns the region to encode again and keeps its place in ``region``. Its borders keep
+        ``reach`` characters between them and the change."""
         total, size = len(self.text), len(self.chars) // 2
         at = min(max(at, 0), total)
         end = min(at + max(drop, 0), total)
         low, begin = descend(self.chars, at)
-        while low and begin >= at:  # the border before the region keeps the characters on both its sides
+        while low and begin > at - reach:  # the border before the region keeps the characters on both its sides
             low -= 1
             begin -= int(self.chars[size + low])
         high, before = descend(self.chars, end)
         stop = before + int(self.chars[size + high])
-        while high < size - 1 and stop <= end + 1:
+        while high < size - 1 and stop < end + max(2, reach):
             high += 1
             stop += int(self.chars[size + high])
         region = self.text[begin:at] + put + self.text[end:stop]
@@ -97,7 +99,7 @@ def leaf_sums(encoder, texts, leaves: list | None = None) -> list:
     """Per text: characters and tokens of its leaves, of ``LEAF_UNITS`` units each or in ``leaves[i]`` parts."""
     out = []
     for _, data, offsets in vec.slices(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), tokens.SLICE_BYTES):
-        start, end, first = tokens.units(data, offsets)
+        start, end, first = tokens.units(data, offsets, encoder.marks)
         total = np.concatenate([[0], np.cumsum(encoder.counts(data, start, end))]) if len(start) else np.zeros(1, np.int64)
         is_char = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         byte = np.append(start, len(data))
@@ -122,7 +124,7 @@ def _edited(encoder, documents: list, edits: list) -> list:
         regions = []
         for i in active:
             _, e = queues[i].pop()
-            regions.append(documents[i].open(e["at"] or 0, e["drop"] or 0, e["put"] or ""))
+            regions.append(documents[i].open(e["at"] or 0, e["drop"] or 0, e["put"] or "", encoder.reach))
             encoded[i] += len(regions[-1])
         sums = leaf_sums(encoder, regions, [documents[i].region[1] for i in active])
         for i, s in zip(active, sums):
@@ -157,12 +159,13 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
 
 
 def build_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more,
-                vocabulary: str = tokens.VOCABULARY) -> DataFrame:
-    """``id, text, …, chars, counts``: every document with its tree. ``more`` are columns to carry along."""
+                vocabulary: str = tokens.VOCABULARY, added: bool = False) -> DataFrame:
+    """``id, text, …, chars, counts``: every document with its tree. ``more`` are columns to carry along; ``added`` as
+    in ``tokens``, the same for the edits."""
     rows = _rows(docs, id_col, text_col, *more)
 
     def run(batches):
-        encoder = tokens.encoder(vocabulary)
+        encoder = tokens.encoder(vocabulary, added)
         for batch in _pieces(batches):
             trees = zip(*_trees(encoder, batch.column("text")))
             lists = [pa.array(list(t), pa.list_(pa.int64())) for t in trees] or [pa.array([], pa.list_(pa.int64()))] * 2
@@ -185,13 +188,13 @@ def attach_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
     return docs.join(per_doc, "id", "left")
 
 
-def apply_edits(trees: DataFrame, vocabulary: str = tokens.VOCABULARY) -> DataFrame:
+def apply_edits(trees: DataFrame, vocabulary: str = tokens.VOCABULARY, added: bool = False) -> DataFrame:
     """``id, text, chars, counts`` after the row's ``edits`` (a missing list changes nothing), ``n_before``, and
     ``encoded_chars``, the characters that were encoded again."""
     rows = trees.select("id", "text", "edits", "chars", "counts")
 
     def run(batches):
-        encoder = tokens.encoder(vocabulary)
+        encoder = tokens.encoder(vocabulary, added)
         for batch in _pieces(batches):
             pairs = zip(*([v.values.to_numpy().copy() for v in batch.column(c)] for c in LISTS))
             yield _apply(encoder, batch, pairs)
@@ -200,12 +203,12 @@ def apply_edits(trees: DataFrame, vocabulary: str = tokens.VOCABULARY) -> DataFr
 
 
 def recount(docs: DataFrame, edits, id_col: str = "doc_id", text_col: str = "text",
-            vocabulary: str = tokens.VOCABULARY) -> DataFrame:
+            vocabulary: str = tokens.VOCABULARY, added: bool = False) -> DataFrame:
     """``build_trees`` and ``apply_edits`` in one pass, for edits that are a column of the rows themselves."""
     rows = _rows(docs, id_col, text_col, edits.alias("edits"))
 
     def run(batches):
-        encoder = tokens.encoder(vocabulary)
+        encoder = tokens.encoder(vocabulary, added)
         for batch in _pieces(batches):
             yield _apply(encoder, batch, _trees(encoder, batch.column("text")))
 

@@ -30,11 +30,11 @@ def piece_lengths(total: int, max_tokens: int = MAX_TOKENS) -> list:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = tokens.VOCABULARY,
-         max_tokens: int = MAX_TOKENS) -> DataFrame:
+         max_tokens: int = MAX_TOKENS, added: bool = False) -> DataFrame:
     """Per piece: ``id, start, length, doc_tokens, ids, sequence_id, offset``.
 
     ``ids`` holds the token ids as little-endian unsigned 32-bit numbers; ``offset`` is 0, since a sequence is one
-    piece. ``length`` is the bucket.
+    piece. ``length`` is the bucket. With ``added``, marks of added tokens in a text become their ids.
     """
     if max_tokens < 1 or max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens must be a power of two")
@@ -42,7 +42,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     id_type = rows.schema["id"].dataType.simpleString()
 
     def cut(batches):
-        encoder = tokens.encoder(vocabulary)
+        encoder = tokens.encoder(vocabulary, added)
         for batch in batches:
             ids_in = batch.column("id")
             for row, data, offsets in vec.slices(batch.column("text"), tokens.SLICE_BYTES):

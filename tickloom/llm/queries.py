@@ -30,7 +30,7 @@ def op10(spark, d):
 
 @query("op7_power_of_two_packing")
 def op7(spark, d):
-    return packing.pack(documents(spark, d)).select(
+    return packing.pack(documents(spark, d), added=True).select(
         F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
@@ -47,7 +47,7 @@ def derived_edits():
 
 @query("op5_edit_aware_token_counts")
 def op5(spark, d):
-    done = counting.recount(documents(spark, d), derived_edits())
+    done = counting.recount(documents(spark, d), derived_edits(), added=True)
     return done.select(F.col("id").alias("doc_id"), F.col("n_before").alias("n_tokens"),
                        F.element_at("counts", 2).alias("n_tokens_after"), F.length("text").cast("long").alias("n_chars_after"),
                        "encoded_chars")

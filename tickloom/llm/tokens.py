@@ -9,9 +9,14 @@ repeat a lot, so a task encodes each distinct one once and looks up the rest.
 The vocabulary is read with ``tokenizers``; its ids are also the order of its merges, so distinct units are
 encoded by ``tiktoken`` with the ids as ranks, which is faster for short strings. Tests hold the ids against
 those that ``tokenizers`` gives for the whole texts.
+
+A text may hold the mark of an added token, such as ``<|endoftext|>``, literally. With ``added`` its id is emitted and
+the parts before and after it are split on their own, as ``tokenizers`` does unless told otherwise; without, the mark
+is spelled out like any other text (``encode_special_tokens``). A unit never begins within a mark.
 """
 
 import itertools
+import re
 
 import numpy as np
 import public_tokenizers
@@ -47,12 +52,24 @@ def read_ranks(path: str) -> dict:
     return {bytes(byte_of[c] for c in token): i for token, i in tokenizer.get_vocab().items() if token not in special}
 
 
-def encoder(vocabulary: str = VOCABULARY) -> "UnitEncoder":
+def read_added(path: str) -> dict:
+    """``mark -> id`` of the added tokens. Marks that overlap, or that match by more than their letters, are an error."""
+    added = Tokenizer.from_file(path).get_added_tokens_decoder()
+    marks = {t.content: i for i, t in added.items()}
+    if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+        raise ValueError("added tokens that take in blanks or need word borders are not supported")
+    pairs = [(a, b) for a in marks for b in marks]
+    if any(a != b and a in b or any(a[-n:] == b[:n] for n in range(1, min(len(a), len(b)))) for a, b in pairs):
+        raise ValueError("added tokens that overlap are not supported")
+    return marks
+
+
+def encoder(vocabulary: str = VOCABULARY, added: bool = False) -> "UnitEncoder":
     """The encoder of this Python worker; a vocabulary is a file's path or the name of a public one."""
-    if vocabulary not in _encoders:
+    if (vocabulary, added) not in _encoders:
         path = vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary)
-        _encoders[vocabulary] = UnitEncoder(path)
-    return _encoders[vocabulary]
+        _encoders[vocabulary, added] = UnitEncoder(path, added)
+    return _encoders[vocabulary, added]
 
 
 def safe_cuts(data: np.ndarray) -> np.ndarray:
@@ -74,9 +91,11 @@ def safe_cuts(data: np.ndarray) -> np.ndarray:
     return cut
 
 
-def units(data: np.ndarray, offsets: np.ndarray):
+def units(data: np.ndarray, offsets: np.ndarray, marks: re.Pattern | None = None):
     """``(start, end, first)``: the units of all texts, and the number of each text's first unit."""
     cut = safe_cuts(data)
+    for mark in marks.finditer(data) if marks else ():
+        cut[mark.start() + 1:mark.end()] = False
     cut[offsets[:-1][np.diff(offsets) > 0]] = True
     start = np.flatnonzero(cut)
     return start, np.append(start[1:], len(data))[:len(start)], np.searchsorted(start, offsets)
@@ -85,11 +104,23 @@ def units(data: np.ndarray, offsets: np.ndarray):
 class UnitEncoder:
     """Encodes byte spans; keeps the ids of at most ``CACHE_UNITS`` distinct spans and then starts afresh."""
 
-    def __init__(self, path: str):
-        self.encode_unit = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(path),
-                                             special_tokens={}).encode_ordinary
+    def __init__(self, path: str, added: bool = False):
+        self.encode_plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(path),
+                                              special_tokens={}).encode_ordinary
+        self.added = {m.encode(): i for m, i in read_added(path).items()} if added else {}
+        self.marks = re.compile(b"|".join(map(re.escape, self.added))) if self.added else None
+        self.reach = max([1, *(len(m.decode()) - 1 for m in self.added)])  # how far a border must be from a change
         self._clear()
 
+    def encode_unit(self, span: bytes) -> list:
+        """The ids of a span; its parts around added tokens are encoded on their own."""
+        ids, at = [], 0
+        for mark in self.marks.finditer(span) if self.marks else ():
+            ids += self.encode_plain(span[at:mark.start()].decode())
+            ids.append(self.added[mark.group()])
+            at = mark.end()
+        return ids + self.encode_plain(span[at:].decode()) if at else self.encode_plain(span.decode())
+
     def _clear(self):
         self.known, self.used = {}, 0
         self.ids, self.begin, self.count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
@@ -97,7 +128,7 @@ class UnitEncoder:
     def _learn(self, spans: list):
         if len(self.known) + len(spans) > CACHE_UNITS and self.known:
             return False
-        lists = [self.encode_unit(s.decode()) for s in spans]
+        lists = [self.encode_unit(s) for s in spans]
         lengths = np.fromiter(map(len, lists), np.int64, len(lists))
         new = np.fromiter((i for ids in lists for i in ids), np.uint32, int(lengths.sum()))
         n, stop = len(self.known), self.used + len(new)
@@ -134,7 +165,7 @@ class UnitEncoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int | None = END_ID):
         """``(ids, offsets)`` of all texts, with ``end_id`` after each."""
-        start, end, first = units(data, offsets)
+        start, end, first = units(data, offsets, self.marks)
         number = self.unit_numbers(data, start, end)
         lengths = self.count[number].astype(np.int64)
         before = np.concatenate([[0], np.cumsum(lengths)])
