@@ -20,7 +20,9 @@ def query(name, text=None):
 
 @query("op4_source_mixing", sql.OP4)
 def op4(spark, d):
-    return mixing.mix_plan(documents(spark, d)).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    """In the order of the documents' first training positions, those that are not taken last."""
+    plan = mixing.mix_plan(documents(spark, d)).orderBy(F.asc_nulls_last("first_position"), "id", "size")
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 @query("op10_exact_dedup", sql.OP10)
