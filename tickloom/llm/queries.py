@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tickloom.llm import counting, exact, licenses, minhash, mixing, neighbours, packing, quality, secrets, sql, substring
+from tickloom.llm import counting, exact, licenses, minhash, mixing, neighbours, packing, periods, quality, secrets, sql, substring, twofit, whitening
 from tickloom.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -90,3 +90,35 @@ def op3(spark, d):
 def op8(spark, d):
     found = neighbours.nearest(spark.read.parquet(f"{d}/embeddings.parquet"), F.col("id") % 20 == 0)
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query("op11_embedding_whitening")
+def op11(spark, d):
+    found = whitening.per_component(whitening.whiten(spark.read.parquet(f"{d}/embeddings.parquet")))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+@query("op12_best_two_fit_packing")
+def op12(spark, d):
+    return twofit.pack(documents(spark, d), added=True).select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def with_derived_runs(docs):
+    """Every tenth document by a digest of its id gets a tail that repeats a few of its own words."""
+    digest = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(digest / 10)
+    words = F.split(F.btrim("text", F.lit(mixing.BLANKS)), r"[\x20\x09-\x0D]+")
+    n = F.size("words").cast("long")
+    a = g % n
+    period = 1 + F.floor((n - a) / (3 + g % 8))
+    tail = F.transform("words", lambda w, i: F.when(i < a, w).otherwise(F.get("words", (a + (i - a) % period).cast("int"))))
+    chosen = (digest % 10 == 0) & (F.btrim("text", F.lit(mixing.BLANKS)) != "")
+    return docs.withColumn("words", F.when(chosen, words)).withColumn(
+        "text", F.when(F.col("words").isNotNull(), F.array_join(tail, " ")).otherwise(F.col("text"))).drop("words")
+
+
+@query("op13_periodic_runs")
+def op13(spark, d):
+    docs = with_derived_runs(documents(spark, d).select("doc_id", "text"))
+    return periods.summary(periods.find_runs(docs)).withColumnRenamed("id", "doc_id")
