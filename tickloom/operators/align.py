@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK = 8192
+# Longest frame that is computed anew for every row.
+LONG_FRAME = 64
+
+ROLLING = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min}
 
 
 def no_nan(col: Column) -> Column:
@@ -58,6 +62,19 @@ def _block_cells(days: DataFrame, block: int, lookback: int, anchor: bool) -> Da
         "date", "t", "blk", (F.col("home") == F.col("blk")).alias("own"))
 
 
+def _merged(stat: str, a: dict, b: dict) -> Column:
+    """``stat`` of two parts of a frame from the running columns of both; a part may be missing."""
+    if stat in ("max", "min"):
+        return (F.greatest if stat == "max" else F.least)(a["m"], b["m"])
+    n, m = (F.coalesce(p["n"], F.lit(0)).cast("double") for p in (a, b))
+    if stat == "mean":
+        return F.try_divide(F.coalesce(a["s"], F.lit(0.0)) + F.coalesce(b["s"], F.lit(0.0)), n + m)
+    # sums of squared distances from the parts' means, plus what their distance adds
+    apart = F.coalesce((a["a"] - b["a"]) * (a["a"] - b["a"]) * n * m / (n + m), F.lit(0.0))
+    squares = F.coalesce(a["q"] * n, F.lit(0.0)) + F.coalesce(b["q"] * m, F.lit(0.0)) + apart
+    return F.when(n + m > 1, F.sqrt(squares / (n + m - 1)))
+
+
 @dataclass(frozen=True)
 class Series:
     """Aligned rows ``(key…, blk, t, own, date, values…)`` with overlap, plus the windows over them."""
@@ -80,6 +97,30 @@ class Series:
         """``fn`` over full frames of ``period`` rows; missing before position ``period - 1``."""
         return F.when(F.col("t") >= period - 1, fn(value).over(self.frame(period)))
 
+    def roll_layers(self, name: str, stat: str, value: Column, period: int) -> list:
+        """``stat`` of ``ROLLING`` over full frames of ``period`` rows as column ``name``: a list of layers of columns,
+        each of which reads the layers before.
+
+        A moving frame is computed anew for every row. Beyond ``LONG_FRAME`` rows the calendar is therefore cut into
+        chunks of ``period`` positions: a frame is the end of one chunk and the beginning of the next, so running
+        statistics from both borders of each chunk give every frame at a cost that does not depend on the period. They
+        are merged as they are, without subtracting one sum from another, so no digits cancel. Missing values are
+        skipped as in a moving frame.
+        """
+        if period <= LONG_FRAME:
+            return [{name: self.roll(ROLLING[stat], value, period)}]
+        self.frame(period)  # refuses a layout with less lookback
+        x, chunk = f"_{name}_x", F.expr(f"t div {period}")
+        within = Window.partitionBy(*self.key, "blk", chunk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        tail, head = within.orderBy(F.desc("t")), within.orderBy("t")
+        parts = {"max": {"m": F.max(x)}, "min": {"m": F.min(x)}, "mean": {"n": F.count(x), "s": F.sum(x)},
+                 "std": {"n": F.count(x), "a": F.avg(x), "q": F.var_pop(x)}}[stat]
+        running = {f"_{name}_{side}{p}": fn.over(w) for side, w in (("tail_", tail), ("head_", head)) for p, fn in parts.items()}
+        both = F.col("t") % period != period - 1  # else the frame is one whole chunk
+        lagged = {f"_{name}_{p}": F.when(both, F.lag(f"_{name}_tail_{p}", period - 1).over(self.ordered())) for p in parts}
+        a, b = ({p: F.col(f"_{name}_{side}{p}") for p in parts} for side in ("", "head_"))
+        return [{x: value}, running, lagged, {name: F.when(F.col("t") >= period - 1, _merged(stat, a, b))}]
+
     def previous(self, value) -> Column:
         return F.lag(value, 1).over(self.ordered())
 

@@ -19,13 +19,11 @@ OVERBOUGHT = 70.0
 OVERSOLD = 30.0
 MARK_EVERY = 5
 
-ROLLING = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min}
-
 
 def rolling(prices: DataFrame, stat: str, period: int, **layout) -> DataFrame:
     """``rolling(period).stat()`` for ``mean``, ``std``, ``max`` or ``min``."""
     s = align(prices, lookback=period - 1, **layout)
-    return s.with_columns(value=s.roll(ROLLING[stat], F.col("price"), period)).select("date", "symbol", "price", "value")
+    return _apply(s, s.roll_layers("value", stat, F.col("price"), period)).select("date", "symbol", "price", "value")
 
 
 def difference(prices: DataFrame, **layout) -> DataFrame:
@@ -56,27 +54,32 @@ def _rsi_layers(s: Series, period: int) -> list:
     diff, up, down = F.col("_diff"), F.col("_up"), F.col("_down")
     return [{"_diff": F.col("price") - s.previous("price")},
             {"_gain": _gain(diff), "_loss": _loss(diff)},
-            {"_up": s.roll(F.avg, F.col("_gain"), period), "_down": s.roll(F.avg, F.col("_loss"), period)},
+            *_side_by_side(s.roll_layers("_up", "mean", F.col("_gain"), period), s.roll_layers("_down", "mean", F.col("_loss"), period)),
             {"rsi": 100 * F.try_divide(up, up + down)}]
 
 
 def _band_layers(s: Series, period: int, deviations: float) -> list:
     price, sma, sd, top, bottom = (F.col(c) for c in ("price", "sma", "_sd", "top", "bottom"))
-    return [{"sma": s.roll(F.avg, price, period), "_sd": s.roll(F.stddev_samp, price, period)},
+    return [*_side_by_side(s.roll_layers("sma", "mean", price, period), s.roll_layers("_sd", "std", price, period)),
             {"top": sma + deviations * sd, "bottom": sma - deviations * sd},
             {"bbp": F.try_divide(price - bottom, top - bottom)}]
 
 
 def _stochastic_layers(s: Series, k: int, d: int, high: str = "price", low: str = "price") -> list:
     price, hi, lo = F.col("price"), F.col("_hi"), F.col("_lo")
-    return [{"_hi": s.roll(F.max, F.col(high), k), "_lo": s.roll(F.min, F.col(low), k)},
+    return [*_side_by_side(s.roll_layers("_hi", "max", F.col(high), k), s.roll_layers("_lo", "min", F.col(low), k)),
             {"percent_k": 100 * F.try_divide(price - lo, hi - lo)},
-            {"percent_d": s.roll(F.avg, F.col("percent_k"), d)}]
+            *s.roll_layers("percent_d", "mean", F.col("percent_k"), d)]
+
+
+def _side_by_side(*indicators: list) -> list:
+    """The layers of several indicators, the first ones together, then the second ones, and so on."""
+    return [{name: col for layer in layers for name, col in layer.items()} for layers in zip_longest(*indicators, fillvalue={})]
 
 
 def _apply(s: Series, *indicators: list) -> Series:
-    for layers in zip_longest(*indicators, fillvalue={}):
-        s = s.with_columns(**{name: col for layer in layers for name, col in layer.items()})
+    for layer in _side_by_side(*indicators):
+        s = s.with_columns(**layer)
     return s
 
 

@@ -9,14 +9,20 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.operators import panels
 from tickloom.operators.rows import row_positions
-from tickloom.operators.skew import lookup_join, skew_join
+from tickloom.operators.skew import fits_broadcast, lookup_join, skew_join
 from tickloom.session import materialize
 
 # Widest array row for which one task holds a width × width matrix (8 MiB).
 NARROW = 1024
 FAN_IN = 32
 VECTOR_BLOCK = 1024
+# Blocks that take the dense kernel: cells as a share of the rectangle they span, and at least so many.
+DENSE_SHARE = 1 / 8
+DENSE_CELLS = 4096
+# Block rows or columns that go to one task together.
+STRIPE = 4
 
 
 def _index_names(shape) -> list:
@@ -202,7 +208,41 @@ def _pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     return lookup_join(left, right, "_k")
 
 
-def matmul(a: DataFrame, b: DataFrame) -> DataFrame:
+def matmul(a: DataFrame, b: DataFrame, block: int = 512) -> DataFrame:
+    """``A·B``, its form chosen by measured density, block by block.
+
+    Blocks whose cells fill ``DENSE_SHARE`` of the rectangle they span are dense. Products of two dense blocks are made by
+    a dense kernel; all others by joining cells on the inner index, which costs as much as there are products of cells.
+    Both give the cells whose inner indices meet, and are summed together. The counts, one row per block, are written;
+    ``materialize`` operands that are costly to compute, since they are read for the counts first.
+    """
+    if fits_broadcast(b):
+        return matmul_sparse(a, b)
+    a_dense, b_dense = _dense_blocks(a, block), _dense_blocks(b, block)
+    if a_dense.isEmpty() or b_dense.isEmpty():
+        return matmul_sparse(a, b)
+    (a_full, a_rest), (b_full, b_rest) = _by_density(a, a_dense, block), _by_density(b, b_dense, block)
+    parts = [matmul_blocked(a_full, b_full, block)]
+    parts += [_pairs(x, y).select("i", "j", (F.col("v") * F.col("_w")).alias("v")) for x, y in ((a_rest, b), (a_full, b_rest))]
+    return _add(["i", "j"], *parts)
+
+
+def _dense_blocks(cells: DataFrame, block: int) -> DataFrame:
+    """``(bi, bj)`` of the blocks that are dense, written."""
+    spans = [F.max(c) - F.min(c) + 1 for c in ("li", "lj")]
+    counted = blocks(cells, block).groupBy("bi", "bj").agg((F.count(F.lit(1)) >= spans[0] * spans[1] * DENSE_SHARE).alias("dense"),
+                                                          F.count(F.lit(1)).alias("n"))
+    return materialize(counted.where("dense").where(F.col("n") >= DENSE_CELLS).select("bi", "bj"), "dense-blocks")
+
+
+def _by_density(cells: DataFrame, dense: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """The cells of dense blocks, and all others."""
+    dense = F.broadcast(dense) if fits_broadcast(dense) else dense
+    placed = cells.withColumns({"bi": F.expr(f"i div {block}"), "bj": F.expr(f"j div {block}")})
+    return tuple(placed.join(dense, ["bi", "bj"], how).select("i", "j", "v") for how in ("left_semi", "left_anti"))
+
+
+def matmul_sparse(a: DataFrame, b: DataFrame) -> DataFrame:
     """``A·B`` for sparse operands, or dense ones where B is small: join on the inner index and sum.
 
     ``b`` is counted first; ``materialize`` it when it is costly to compute.
@@ -213,31 +253,46 @@ def matmul(a: DataFrame, b: DataFrame) -> DataFrame:
 def matmul_blocked(a: DataFrame, b: DataFrame, block: int = 512) -> DataFrame:
     """``A·B`` for two large dense operands.
 
-    Cells are copied to every product of a block of A and a block of B they take part in. Each such
-    group holds at most two blocks of cells, whatever the shape of the matrices, and is multiplied
-    with one dense kernel call; partial products are summed by cell.
+    The blocks of A are cut into stripes of ``STRIPE`` block rows, those of B into stripes of ``STRIPE`` block columns. A
+    group is a block column of one stripe of A and the same block row of one stripe of B, so a cell is copied once per
+    stripe of the other operand and no group holds more than two stripes of blocks, whatever the shape of the matrices.
+    Each pair of blocks in a group is one dense kernel call; partial products are summed by cell.
     """
-    left = a.select(F.expr(f"i div {block}").alias("bi"), F.expr(f"j div {block}").alias("bk"), "i", "j", "v")
-    right = b.select(F.expr(f"i div {block}").alias("bk"), F.expr(f"j div {block}").alias("bj"),
+    left = a.select(F.expr(f"i div {block * STRIPE}").alias("si"), F.expr(f"j div {block}").alias("bk"), "i", "j", "v")
+    right = b.select(F.expr(f"i div {block}").alias("bk"), F.expr(f"j div {block * STRIPE}").alias("sj"),
                      F.col("i").alias("k"), F.col("j").alias("c"), F.col("v").alias("w"))
-    group = ["bi", "bk", "bj"]
+    group = ["si", "bk", "sj"]
     # columns under new names of their own, since the two joined tables meet again in the cogroup
-    spread_left = skew_join(left, right.select(F.col("bk").alias("bk"), F.col("bj").alias("bj")).distinct(), "bk")
-    spread_right = skew_join(right, left.select(F.col("bk").alias("bk"), F.col("bi").alias("bi")).distinct(), "bk")
+    spread_left = skew_join(left, right.select(F.col("bk").alias("bk"), F.col("sj").alias("sj")).distinct(), "bk")
+    spread_right = skew_join(right, left.select(F.col("bk").alias("bk"), F.col("si").alias("si")).distinct(), "bk")
 
     def multiply(key, x, y):
         import numpy as np
         import pandas as pd
 
-        bi, bk, bj = (int(k) for k in key)
-        m, n = np.zeros((block, block)), np.zeros((block, block))
-        at, to = (x["i"] - bi * block, x["j"] - bk * block), (y["k"] - bk * block, y["c"] - bj * block)
-        np.add.at(m, at, x["v"])  # a cell that is held twice counts twice, as in matmul
-        np.add.at(n, to, y["w"])
-        here, there = np.zeros((block, block)), np.zeros((block, block))
-        here[at], there[to] = 1, 1
-        i, j = np.nonzero(here @ there)  # cells with an inner index that both operands hold
-        return pd.DataFrame({"i": i + bi * block, "j": j + bj * block, "v": (m @ n)[i, j]})
+        bk = int(key[1])
+        # a block is dealt with densely over the part it spans; a cell that is held twice counts twice, as in the join
+        def dense(rows, cols, v, n_rows, n_cols):
+            m, held = np.zeros((n_rows, n_cols)), np.zeros((n_rows, n_cols), np.float32)
+            np.add.at(m, (rows, cols), v)
+            held[rows, cols] = 1
+            return m, held
+
+        def cut(frame, along):
+            number = frame[along].to_numpy() // block
+            for n in np.unique(number):
+                yield int(n), frame[number == n]
+
+        depth = int(max(x["j"].max(), y["k"].max())) - bk * block + 1
+        right_blocks = [(bj, dense(part["k"] - bk * block, part["c"] - bj * block, part["w"], depth, int(part["c"].max()) - bj * block + 1))
+                        for bj, part in cut(y, "c")]
+        out = []
+        for bi, part in cut(x, "i"):
+            m, here = dense(part["i"] - bi * block, part["j"] - bk * block, part["v"], int(part["i"].max()) - bi * block + 1, depth)
+            for bj, (n, there) in right_blocks:
+                i, j = np.nonzero(here @ there)  # cells with an inner index that both operands hold
+                out.append(pd.DataFrame({"i": i + bi * block, "j": j + bj * block, "v": (m @ n)[i, j]}))
+        return pd.concat(out)
 
     partial = (spread_left.groupBy(*group).cogroup(spread_right.groupBy(*group))
                .applyInPandas(multiply, "i long, j long, v double"))
@@ -263,8 +318,8 @@ def rank1_update(alpha: float, x: DataFrame, a: DataFrame) -> DataFrame:
     are made by as many tasks as there are blocks, each with a bounded part of x.
     """
     x = materialize(x.select("i", "v", F.expr(f"i div {VECTOR_BLOCK}").alias("blk")), "vector")
-    blocks = x.select(F.col("blk").alias("to")).distinct().agg(F.collect_list("to")).scalar()
-    left = x.select("i", (alpha * F.col("v")).alias("v"), F.explode(blocks).alias("blk"))
+    last = x.agg(F.max("blk")).scalar()
+    left = x.select("i", (alpha * F.col("v")).alias("v"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("blk"))
     right = x.select(F.col("i").alias("j"), F.col("v").alias("w"), "blk")
     return _add(["i", "j"], left.join(right.hint("shuffle_hash"), "blk").select("i", "j", (F.col("v") * F.col("w")).alias("v")), a)
 
@@ -282,11 +337,6 @@ def elementwise_div(a: DataFrame, b: DataFrame) -> DataFrame:
 # --- tall matrices of narrow array rows
 
 
-def _checked_width(width: int):
-    if not 0 < width <= NARROW:
-        raise ValueError(f"rows of {width} values: use the cell form beyond {NARROW}")
-
-
 def gramian(rows: DataFrame, vector_col: str, width: int) -> DataFrame:
     """``AᵀA`` as cells for a matrix of any number of array rows with ``width`` values each.
 
@@ -345,9 +395,11 @@ def qr_r(rows: DataFrame, vector_col: str, width: int) -> DataFrame:
 
     Each task folds its rows into one triangular factor; the factors are then stacked and folded
     again, at most ``FAN_IN`` at a time. A missing row or a row of another length is an error; a
-    matrix with fewer rows than columns gives zero rows at the end.
+    matrix with fewer rows than columns gives zero rows at the end. Beyond ``NARROW`` values a row the factor is made
+    panel by panel (``panels.factor``), where a matrix without full column rank is an error.
     """
-    _checked_width(width)
+    if width > NARROW:
+        return panels.factor(rows, vector_col, width, panel=min(panels.PANEL, NARROW))[1]
 
     def fold(batches):
         import numpy as np
@@ -387,21 +439,12 @@ def qr_r(rows: DataFrame, vector_col: str, width: int) -> DataFrame:
 
 
 def qr_q(cells: DataFrame, r: DataFrame, width: int) -> DataFrame:
-    """The Q that belongs to ``qr_r``: ``A·R⁻¹`` as cells. A rank-deficient R is an error."""
-    _checked_width(width)
-
-    def invert(pdf):
-        import numpy as np
-        import pandas as pd
-
-        m = np.zeros((width, width))
-        m[pdf["i"], pdf["j"]] = pdf["v"]
-        size = np.abs(np.diag(m))
-        if size.min() <= size.max() * width * np.finfo(float).eps:
-            raise ValueError("the matrix has no full column rank, its Q is not unique")
-        inverse = np.linalg.inv(m)
-        i, j = np.triu_indices(width)
-        return pd.DataFrame({"i": i, "j": j, "v": inverse[i, j]})
-
-    inverse = r.withColumn("whole", F.lit(0)).groupBy("whole").applyInPandas(invert, "i long, j long, v double")
-    return matmul(cells, materialize(inverse, "r_inverse"))
+    """The Q that belongs to ``qr_r``: ``A·R⁻¹`` as cells, by triangular solves of A's rows. A rank-deficient R is an
+    error. For wide matrices ``panels.factor`` gives Q itself, orthogonal whatever the condition number."""
+    at = F.sort_array(F.collect_list(F.struct("j", "v")))
+    held = cells.groupBy("i", "j").agg(F.sum("v").alias("v")).groupBy("i").agg(at.alias("m"))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))
+    gaps = F.transform(every, lambda j: F.coalesce(F.try_element_at(F.map_from_entries("m"), j), F.lit(0.0)))
+    dense = F.when(F.size("m") == width, F.transform("m", lambda e: e["v"])).otherwise(gaps)
+    solved = panels.solve_rows(held.select("i", dense.alias("v")), "v", r, width, ["i"])
+    return row_cells(solved, "q", ["i"])

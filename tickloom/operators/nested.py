@@ -116,7 +116,7 @@ def write_scalar_fields(docs: DataFrame, types: dict, *, strict: bool = False) -
     failed = {f: F.col(f).isNotNull() & F.col(f).try_cast(t).isNull() for f, t in types.items()}
     if strict:
         def value(f):
-            message = F.concat(F.lit(f"{f}: cannot be read as {types[f]}: "), F.col(f).cast("string"))
+            message = F.concat(F.lit(f"field {f} cannot be read as {types[f]}: "), F.col(f).cast("string"))
             return F.when(failed[f], F.raise_error(message)).otherwise(F.col(f).try_cast(types[f])).alias(f)
 
         return docs.select(*rest, *[value(f) for f in types])
@@ -150,6 +150,43 @@ def resolve_field(document: Column, path: str, target: str = "string", resolver=
     return resolver(document, path).try_cast(target)
 
 
+def _path_parts(path: str) -> list:
+    """``$.units.USD[*].val`` as the parts between list wildcards: ``["$.units.USD", "$.val"]``."""
+    if not path.startswith("$"):
+        raise ValueError(f"a path starts with $: {path}")
+    first, *rest = path.split("[*]")
+    return [first, *(f"${part}" for part in rest)]
+
+
+def variant_field(document: Column, path: str, target: str = "string") -> Column:
+    """One field of a VARIANT as ``target``; with list wildcards a list of the fields found in the elements, a list in it for
+    every further wildcard. Missing where the path leads nowhere or the value cannot be read as the type; null elements
+    and elements without the field are missing elements."""
+
+    def read(value, parts):
+        if len(parts) == 1:
+            return F.try_variant_get(value, parts[0], target)
+        return F.transform(F.try_variant_get(value, parts[0], "array<variant>"), lambda x: read(x, parts[1:]))
+
+    return read(document, _path_parts(path))
+
+
+def resolve_fields(df: DataFrame, text_col: str, fields: dict) -> DataFrame:
+    """``df`` with a column for every entry ``name: (path, type)`` of ``fields``, all read from one parse of the text.
+
+    The parsed document is generated as a one-element list, so that Spark does not copy the parse into every field. A text that
+    is not JSON has missing fields.
+    """
+    parsed = df.select("*", F.explode(F.array(F.try_parse_json(text_col))).alias("_document"))
+    return parsed.select(*[F.col(f"`{c}`") for c in df.columns if c not in fields],
+                         *[variant_field(F.col("_document"), path, target).alias(name) for name, (path, target) in fields.items()])
+
+
+def variant_resolver(document: Column, path: str) -> Column:
+    """A resolver for ``resolve_field`` over documents that are VARIANT already."""
+    return variant_field(document, path)
+
+
 def write_nested(value: Column, source: T.DataType, target: T.DataType) -> Column:
     """A list, struct or map of ``source`` type as ``target`` type, at any depth.
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.align import Series, align, with_overlap
-from tickloom.operators.skew import fits_broadcast, skew_join
+from tickloom.operators.align import Series, align, calendar, no_nan, with_overlap
+from tickloom.operators.skew import BROADCAST_BYTES, skew_join, total_bytes
 from tickloom.session import materialize
 
 # Fixed value: trading days in a year.
@@ -29,20 +29,24 @@ def normalize_prices(prices: DataFrame, **layout) -> DataFrame:
     return s.with_columns(norm=F.try_divide("price", s.first("price"))).select("date", "symbol", "t", "norm")
 
 
-def _with_unknown(normalized: DataFrame, alloc: DataFrame) -> DataFrame:
+def priced_symbols(prices: DataFrame, symbol_col: str = "symbol") -> DataFrame:
+    """``(symbol)`` of raw prices: one column read, reduced in each task before the shuffle."""
+    return prices.select(F.col(symbol_col).alias("symbol")).distinct()
+
+
+def _with_unknown(symbols: DataFrame, alloc: DataFrame) -> DataFrame:
     """Allocations to symbols without any price, turned into a missing weight on some symbol that has prices.
 
     Such a holding then meets every date and makes the portfolio's value missing there, instead of falling out of
-    the join.
+    the join. ``symbols`` is written.
     """
-    symbols = normalized.groupBy("symbol").agg(F.lit(True).alias("_known"))
-    some = normalized.agg(F.min("symbol").alias("s")).scalar()
-    known = F.coalesce("_known", F.lit(False))
-    return alloc.join(symbols, "symbol", "left").select(
-        "portfolio_id", F.when(known, F.col("symbol")).otherwise(some).alias("symbol"), F.when(known, F.col("w")).alias("w"))
+    some = symbols.agg(F.min("symbol")).scalar()
+    known = symbols.where(F.col("symbol").isNotNull()).withColumn("_known", F.lit(True))
+    return alloc.join(known, "symbol", "left").select(
+        "portfolio_id", F.when(F.col("_known"), F.col("symbol")).otherwise(some).alias("symbol"), F.when(F.col("_known"), F.col("w")).alias("w"))
 
 
-def _value_series(normalized: DataFrame, alloc: DataFrame, lookback: int) -> Series:
+def _value_series(normalized: DataFrame, alloc: DataFrame, lookback: int, symbols: DataFrame | None = None) -> Series:
     """Portfolio values laid out in blocks of the calendar, ready for windows over ``lookback`` rows.
 
     Allocations of a counted, bounded size are broadcast to prices that are cut into date blocks and
@@ -50,26 +54,35 @@ def _value_series(normalized: DataFrame, alloc: DataFrame, lookback: int) -> Ser
     (block, bucket) lies: tasks grow with dates and portfolios, and portfolios × dates is not shuffled.
     Larger allocations are joined by symbol with their hot symbols split. Aligned prices hold
     equally many rows per symbol, so only the allocations can be hot.
+
+    The alignment behind ``normalized`` runs once. Without ``symbols``, the symbols it holds, it is written for that.
     """
+    if symbols is None:
+        normalized = materialize(normalized, "normalized")
+        symbols = priced_symbols(normalized)
     value = [F.max("date").alias("date"),  # one date per calendar position
              F.when(F.count(F.lit(1)) == F.count(F.col("norm") * F.col("w")), F.sum(F.col("norm") * F.col("w"))).alias("port_value")]
-    alloc = materialize(_with_unknown(normalized, alloc), "allocations")
-    if fits_broadcast(alloc):
-        buckets = 1 + alloc.select("portfolio_id").distinct().count() // PORTFOLIOS_PER_BUCKET
+    alloc = materialize(_with_unknown(materialize(symbols, "symbols"), alloc), "allocations")
+    size, portfolios = alloc.agg(total_bytes(alloc), F.approx_count_distinct("portfolio_id")).head()
+    if (size or 0) <= BROADCAST_BYTES:
+        buckets = 1 + portfolios // PORTFOLIOS_PER_BUCKET
         alloc = alloc.withColumn("bucket", F.pmod(F.xxhash64("portfolio_id"), F.lit(buckets)))
         cut = with_overlap(normalized, ("portfolio_id", "bucket"), lookback, DATE_BLOCK)
         dealt = cut.rows.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
-        held = dealt.repartition("blk", "bucket").join(F.broadcast(alloc), ["symbol", "bucket"])
+        # a fixed number of tasks: the rows that are dealt are few, but each meets all portfolios of its bucket
+        tasks = int(alloc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        held = dealt.repartition(tasks, "blk", "bucket").join(F.broadcast(alloc), ["symbol", "bucket"])
         values = held.groupBy("portfolio_id", "bucket", "blk", "t").agg(F.max("own").alias("own"), *value)
         return Series(values, cut.key, lookback, cut.block)
     held = skew_join(normalized, alloc, "symbol", sides=("right",))
     return with_overlap(held.groupBy("portfolio_id", "t").agg(*value), ("portfolio_id",), lookback)
 
 
-def portfolio_value(normalized: DataFrame, alloc: DataFrame) -> DataFrame:
+def portfolio_value(normalized: DataFrame, alloc: DataFrame, symbols: DataFrame | None = None) -> DataFrame:
     """``(portfolio_id, date, t, port_value)``, missing on dates when any held symbol or weight is missing; a symbol
-    without any price is missing on all dates."""
-    return _value_series(normalized, alloc, 0).select("portfolio_id", "date", "t", "port_value")
+    without any price is missing on all dates. ``symbols`` as ``priced_symbols`` gives them spares a copy of
+    ``normalized``."""
+    return _value_series(normalized, alloc, 0, symbols).select("portfolio_id", "date", "t", "port_value")
 
 
 def _add_return(s: Series, value_col: str, keep_first: bool) -> Series:
@@ -90,10 +103,11 @@ def daily_returns(values: DataFrame, *, key=("portfolio_id",), value_col: str =
     return s.select(*key, "date", "t", "daily_return")
 
 
-def portfolio_returns(normalized: DataFrame, alloc: DataFrame, *, keep_first: bool = False) -> DataFrame:
+def portfolio_returns(normalized: DataFrame, alloc: DataFrame, symbols: DataFrame | None = None, *,
+                      keep_first: bool = False) -> DataFrame:
     """``(portfolio_id, date, t, daily_return)`` straight from normalised prices: values and returns share one
     layout, so portfolios × dates is not shuffled in between."""
-    s = _add_return(_value_series(normalized, alloc, lookback=1), "port_value", keep_first)
+    s = _add_return(_value_series(normalized, alloc, 1, symbols), "port_value", keep_first)
     return s.select("portfolio_id", "date", "t", "daily_return")
 
 
@@ -126,7 +140,7 @@ def cumulative_return(values: DataFrame, *, key=("portfolio_id",), value_col: st
 
 def sharpe(prices: DataFrame, alloc: DataFrame, *, ddof: int = 1, strict_nulls: bool = False, **layout) -> DataFrame:
     """Mean over standard deviation of the daily returns, annualised, risk-free rate 0."""
-    values = _value_series(normalize_prices(prices, **layout), alloc, lookback=1)
+    values = _value_series(normalize_prices(prices, **layout), alloc, 1, priced_symbols(prices, layout.get("symbol_col", "symbol")))
     returns = _add_return(values, "port_value", False).select("portfolio_id", "t", "daily_return")
     mean = _skip_missing(F.avg("daily_return"), strict_nulls)
     sd = (F.stddev_samp if ddof else F.stddev_pop)("daily_return")
@@ -156,6 +170,104 @@ def apply_series(prices: DataFrame, fn, lookback: int, **layout) -> DataFrame:
     return Series(computed, s.key, s.lookback, s.block).select("date", "symbol", "value")
 
 
+PANEL_CELLS = 1 << 21
+
+
+def apply_panels(prices: DataFrame, fn, schema: str, lookback: int = 0, cells: int = PANEL_CELLS, *, symbol_col: str = "symbol",
+                 date_col: str = "date", value_col: str = "price") -> DataFrame:
+    """A pandas function over all symbols at once, for what relates columns to each other.
+
+    ``fn(matrix, own)`` gets a table with a row per calendar date, in order, and a column per symbol, in order, missing
+    prices as NaN. The first rows are the up to ``lookback`` dates before; rows from number ``own`` on are the panel's own. It
+    returns rows of ``schema``.
+
+    The calendar is cut into panels of as many dates as keep dates × symbols at about ``cells``, one date at least: with
+    more symbols panels get shorter, so a task's share is bounded by ``cells`` or by ``lookback + 1`` dates of all symbols,
+    which is what ``fn`` asks for. Prices reach their panels in one exchange; a panel knows symbols without any price in
+    it from a list of (panel, symbol) that is generated beside them. Two rows for one (symbol, date) are an error.
+    """
+    import pandas as pd
+
+    days = materialize(calendar(prices, date_col), "calendar")
+    symbols = materialize(priced_symbols(prices, symbol_col).where("symbol IS NOT NULL"), "symbols")
+    n_dates = days.agg(F.max("n_dates")).head()[0] or 0
+    block = max(1, cells // max(1, symbols.count()) - lookback)
+    cut = _panel_dates(days, block, lookback)
+    kind = symbols.schema["symbol"].dataType
+    found = prices.select(F.col(symbol_col).alias("symbol"), F.col(date_col).alias("date"), no_nan(F.col(value_col).cast("double")).alias("v"))
+    observed = found.where("symbol IS NOT NULL").join(F.broadcast(cut), "date").select("blk", "symbol", "date", "own", "v")
+    panels = F.sequence(F.lit(0).cast("long"), F.lit(max(0, (n_dates - 1) // block)).cast("long"))
+    every = symbols.select(F.explode(panels).alias("blk"), "symbol", F.lit(None).cast("date").alias("date"), F.lit(None).cast("boolean").alias("own"),
+                           F.lit(None).cast("double").alias("v")) if n_dates else observed.limit(0)
+    dates = cut.select("blk", F.lit(None).cast(kind).alias("symbol"), "date", "own", F.lit(None).cast("double").alias("v"))
+
+    def run(pdf):
+        calendar_rows = pdf[pdf["symbol"].isna()].sort_values("date")
+        names = sorted(pdf["symbol"].dropna().unique())
+        held = pdf[pdf["symbol"].notna() & pdf["date"].notna()]
+        if held.duplicated(["date", "symbol"]).any():
+            twice = held[held.duplicated(["date", "symbol"])].iloc[0]
+            raise ValueError(f"two rows for symbol {twice['symbol']} on {twice['date']}")
+        matrix = held.pivot(index="date", columns="symbol", values="v").reindex(index=list(calendar_rows["date"]), columns=names)
+        return fn(matrix.astype(float), int((~calendar_rows["own"].astype(bool)).sum()))
+
+    return observed.unionByName(every).unionByName(dates).groupBy("blk").applyInPandas(lambda pdf: pd.DataFrame(run(pdf)), schema)
+
+
+def _panel_dates(days: DataFrame, block: int, lookback: int) -> DataFrame:
+    """``(date, blk, own)``: each date in its panel, and again in the panels whose lookback it is."""
+    home, last = F.expr(f"t div {block}"), F.expr(f"(n_dates - 1) div {block}")
+    until = F.least(F.expr(f"(t + {lookback}) div {block}"), last)
+    placed = days.select("date", home.alias("home"), F.explode(F.sequence(home, until)).alias("blk"))
+    return placed.select("date", "blk", (F.col("home") == F.col("blk")).alias("own"))
+
+
+def cross_rank(prices: DataFrame, cells: int = PANEL_CELLS, **names) -> DataFrame:
+    """``(date, symbol, rank)``: the place of each price among all symbols of its date, 1 for the largest, equal ones the
+    same place; missing prices have none."""
+
+    def rank(matrix, own):
+        return _long(matrix.rank(axis=1, ascending=False, method="min").iloc[own:], "rank")
+
+    return apply_panels(prices, rank, _panel_schema(prices, "rank double", **names), 0, cells, **names)
+
+
+def rolling_covariance(prices: DataFrame, period: int, cells: int = PANEL_CELLS, **names) -> DataFrame:
+    """``(date, symbol, other, covariance)`` of every two symbols over full frames of ``period`` dates, sample ones, over the
+    dates on which both have a price; missing where there are fewer than two."""
+
+    def covariance(matrix, own):
+        import numpy as np
+        import pandas as pd
+
+        x, out, symbols = matrix.to_numpy(), [], list(matrix.columns)
+        for t in range(max(own, period - 1), len(x)):
+            frame = x[t - period + 1:t + 1]
+            held = ~np.isnan(frame)
+            n = held.T.astype(float) @ held
+            y = np.where(held, frame, 0.0)
+            y = np.where(held, y - y.sum(axis=0) / np.maximum(held.sum(axis=0), 1), 0.0)
+            cross, sums = y.T @ y, y.T @ held
+            with np.errstate(invalid="ignore", divide="ignore"):
+                value = np.where(n > 1, (cross - sums * sums.T / n) / (n - 1), np.nan)
+            i, j = np.indices(value.shape)
+            out.append(pd.DataFrame({"date": matrix.index[t], "symbol": [symbols[k] for k in i.ravel()], "other": [symbols[k] for k in j.ravel()],
+                                     "covariance": value.ravel()}))
+        return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype=object) for c in ("date", "symbol", "other", "covariance")})
+
+    kind = prices.schema[names.get("symbol_col", "symbol")].dataType.simpleString()
+    return apply_panels(prices, covariance, f"date date, symbol {kind}, other {kind}, covariance double", period - 1, cells, **names)
+
+
+def _panel_schema(prices: DataFrame, value: str, **names) -> str:
+    return f"date date, symbol {prices.schema[names.get('symbol_col', 'symbol')].dataType.simpleString()}, {value}"
+
+
+def _long(matrix, name: str):
+    """A matrix as rows ``(date, symbol, name)``."""
+    return matrix.rename_axis(index="date", columns="symbol").stack(future_stack=True).rename(name).reset_index()
+
+
 def log_return(prices: DataFrame, **layout) -> DataFrame:
     """``ln(v[t] / v[t−1])`` per symbol, the usual function handed to a column-wise statistic."""
     s = align(prices, lookback=1, **layout)

@@ -72,6 +72,23 @@ def row_positions(df: DataFrame, order_cols, *, key_cols=(), name: str = "row_in
     return stored.join(parts, same).select(*cols, position)
 
 
+def running_sums(df: DataFrame, order_cols, value_cols) -> DataFrame:
+    """``df`` with ``before_<c>`` for each of ``value_cols``: its sum over the rows before, in the order of ``order_cols``.
+
+    ``order_cols`` must identify a row. Rows are range-partitioned and written once; only one row of sums per part meets
+    the others, so no window runs over all rows.
+    """
+    order_cols, value_cols = list(order_cols), list(value_cols)
+    spread = df.repartitionByRange(*[F.col(c) if isinstance(c, str) else c for c in order_cols])
+    stored = materialize(spread.withColumn("_part", F.spark_partition_id()), "running-sums")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = stored.groupBy("_part").agg(*[F.sum(c).alias(c) for c in value_cols])
+    bases = sums.select("_part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_base_{c}") for c in value_cols])
+    within = Window.partitionBy("_part").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    before = {f"before_{c}": F.col(f"_base_{c}") + F.coalesce(F.sum(c).over(within), F.lit(0)) for c in value_cols}
+    return stored.join(F.broadcast(bases), "_part").withColumns(before).drop("_part", *[f"_base_{c}" for c in value_cols])
+
+
 def row_range_slice(df: DataFrame, order_cols, start: int, stop: int, *, key_cols=()) -> DataFrame:
     """Rows ``[start, stop)`` by position, overall or within each key.
 

@@ -274,3 +274,21 @@ def resolve_field(spark, d):
     props = F.col("props")
     return b.table(spark, d, "events").select("event_id", ns.resolve_field(props, "$.k", "int").alias("k"),
                                               ns.resolve_field(props, "$.other").alias("other"))
+
+
+TEN = {"cik": ("$.cik", "string"), "entity": ("$.entityName", "string"), "tag": ("$.tag", "string"), "label": ("$.label", "string"),
+       "taxonomy": ("$.taxonomy", "string"), "usd": ("$.units.USD[*].val", "bigint"), "filed": ("$.units.USD[*].filed", "string"),
+       "forms": ("$.units.USD[*].form", "string"), "first_val": ("$.units.USD[0].val", "bigint"), "none": ("$.units.none[*].val", "string")}
+
+
+@query("resolve_fields", """SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS cik, 'Supplier ' || CAST(l_suppkey AS VARCHAR) AS entity,
+  'Assets' AS tag, l_returnflag AS label, 'us-gaap' AS taxonomy, CASE WHEN l_discount > 0 THEN CAST(floor(l_quantity) * 1000 + 1 AS BIGINT) END AS first_val,
+  CASE WHEN l_discount > 0 THEN array_to_string(list_transform(range(1, l_linenumber + 1), lambda k: CAST(CAST(floor(l_quantity) * 1000 + k AS BIGINT) AS VARCHAR)), ',') END AS usd,
+  CASE WHEN l_discount > 0 THEN array_to_string(list_transform(range(1, l_linenumber + 1), lambda k: CAST(CAST(CAST(l_shipdate AS DATE) + CAST(k + 30 AS INTEGER) AS DATE) AS VARCHAR)), ',') END AS filed,
+  CASE WHEN l_discount > 0 THEN array_to_string(list_transform(range(1, l_linenumber + 1), lambda k: CASE WHEN l_returnflag = 'A' THEN '10-K' ELSE '10-Q' END), ',') END AS forms,
+  CAST(NULL AS VARCHAR) AS "none" FROM lineitem""")
+def resolve_fields(spark, d):
+    """Ten fields of each document, lists of fields among them, from one parse."""
+    found = ns.resolve_fields(documents(spark, d), "text", TEN)
+    lists = {c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",") for c in ("usd", "filed", "forms", "none")}
+    return found.drop("text", "l_suppkey").withColumns(lists)

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from tickloom.operators import blocks as bl
 from tickloom.operators import matrix as mx
+from tickloom.operators import panels
 from tickloom.plans import base as b
 from tickloom.plans.registry import query
 from tickloom.session import materialize
@@ -21,9 +23,10 @@ def _counted(spark, d):
     return (_embeddings(spark, d).agg(F.max("vec_id")).head()[0] or 0) + 1
 
 
-def _first_column(spark, d):
-    """The first value of every vector as a vector ``(i, v)``."""
-    return _embeddings(spark, d).select(F.col("vec_id").alias("i"), F.col("embedding")[0].cast("double").alias("v"))
+def _row_sums(spark, d):
+    """The sum of every vector's values as a vector ``(i, v)``."""
+    total = F.aggregate("embedding", F.lit(0.0), lambda done, x: done + x.cast("double"))
+    return _embeddings(spark, d).select(F.col("vec_id").alias("i"), total.alias("v"))
 
 
 def _column_means(spark, d):
@@ -77,6 +80,21 @@ def tall_skinny_q(spark, d):
     return mx.gramian_cells(q).withColumn("v", F.round("v", 6) + F.lit(0.0))
 
 
+@query("qr_wide", f"{VEC}, {GRAM} SELECT i, j, ROUND(v, 6) AS v FROM gram")
+def qr_wide(spark, d):
+    """RᵀR of the factor that is made panel by panel, here in panels of 24 columns."""
+    r = panels.factor(_embeddings(spark, d), "embedding", WIDTH, panel=24)[1]
+    return b.rounded(mx.matmul(mx.transpose(r), r), "v")
+
+
+@query("qr_wide_q", f"{VEC} SELECT i, j, ROUND(v, 6) AS v FROM vec")
+def qr_wide_q(spark, d):
+    """Q·R, which is the matrix again."""
+    q, r = panels.factor(_embeddings(spark, d), "embedding", WIDTH, ["vec_id"], panel=24)
+    cells = mx.row_cells(q.withColumnRenamed("vec_id", "i"), "q", ["i"])
+    return mx.matmul(cells, r).withColumn("v", F.round("v", 6) + F.lit(0.0))
+
+
 @query("coordinate_to_indexed_rows", f"""{VEC} SELECT i, j // 24 AS segment, count(*) AS n, min(j) AS first_j, max(j) AS last_j,
   ROUND(sum(v), 6) AS total FROM vec GROUP BY ALL""")
 def coordinate_to_indexed_rows(spark, d):
@@ -148,6 +166,30 @@ def gemm(spark, d):
     return b.rounded(mx.gemm(0.5, cells, gram, -2.0, cells), "v", digits=4)
 
 
+@query("matmul_by_density", f"""{VEC}, {GRAM}, part AS (SELECT * FROM vec WHERE i % 96 < 48 OR (i + j) % 40 = 0)
+SELECT a.i, g.j, ROUND(sum(a.v * g.v), 4) AS v FROM part a JOIN gram g ON a.j = g.i GROUP BY 1, 2""")
+def matmul_by_density(spark, d):
+    """Blocks of full rows take the dense kernel, blocks of scattered cells the join."""
+    cells = b.vector_cells(spark, d).where("i % 96 < 48 OR (i + j) % 40 = 0")
+    return b.rounded(mx.matmul(cells, _gramian(spark, d), 48), "v", digits=4)
+
+
+@query("stored_matmul", MATMUL)
+def stored_matmul(spark, d):
+    """Both operands written in blocks; the second is sent to the blocks of the first."""
+    a, g = bl.store(b.vector_cells(spark, d), 64, 8), bl.store(_gramian(spark, d), 64, 8)
+    return b.rounded(bl.matmul(a, g), "v", digits=4)
+
+
+@query("stored_gemv", f"""{VEC}, {MEANS}, p AS (SELECT a.i, sum(a.v * m.v) AS v FROM vec a JOIN m ON a.j = m.i GROUP BY 1)
+SELECT vec.j AS i, ROUND(sum(vec.v * p.v), 6) AS v FROM vec JOIN p USING (i) GROUP BY 1""")
+def stored_gemv(spark, d):
+    """Aᵀ·(A·x): two products with matrices that are written once."""
+    cells = b.vector_cells(spark, d)
+    a, t = bl.store(cells, 64, 8), bl.store(mx.transpose(cells), 64, 8)
+    return b.rounded(bl.gemv(t, bl.gemv(a, _column_means(spark, d))), "v")
+
+
 # consecutive vectors: (i, j, v) beside the next vector's cells
 NEXT = f"{VEC}, nxt AS (SELECT i - 1 AS i, j, v FROM vec)"
 
@@ -168,11 +210,11 @@ def dot(spark, d):
     return b.rounded(mx.dot(cells, _next(cells), keys=["i"]), "dot")
 
 
-@query("gemv", f"""{VEC}, {MEANS}, y AS (SELECT i, v FROM vec WHERE j = 0)
+@query("gemv", f"""{VEC}, {MEANS}, y AS (SELECT i, sum(v) AS v FROM vec GROUP BY 1)
 SELECT i, ROUND(sum(v), 6) AS v FROM (SELECT a.i, 2 * sum(a.v * m.v) AS v FROM vec a JOIN m ON a.j = m.i GROUP BY 1
   UNION ALL SELECT i, 0.5 * v FROM y) GROUP BY 1""")
 def gemv(spark, d):
-    out = mx.gemv(2.0, b.vector_cells(spark, d), _column_means(spark, d), 0.5, _first_column(spark, d))
+    out = mx.gemv(2.0, b.vector_cells(spark, d), _column_means(spark, d), 0.5, _row_sums(spark, d))
     return b.rounded(out, "v")
 
 
@@ -245,9 +287,9 @@ def reshape(spark, d):
     return mx.reshape(b.vector_cells(spark, d), (n, WIDTH), (32, 2 * n), read_order="C", write_order="F")
 
 
-@query("diag_from_vector", f"{VEC} SELECT i, i AS j, v FROM vec WHERE j = 0")
+@query("diag_from_vector", f"{VEC} SELECT i, i AS j, ROUND(sum(v), 6) AS v FROM vec GROUP BY 1")
 def diag_from_vector(spark, d):
-    return mx.diag_from_vector(_first_column(spark, d))
+    return b.rounded(mx.diag_from_vector(_row_sums(spark, d)), "v")
 
 
 @query("flatten", f"{VEC} SELECT i + j * (SELECT max(vec_id) + 1 FROM embeddings) AS pos, v FROM vec")

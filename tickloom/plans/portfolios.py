@@ -18,11 +18,13 @@ ret AS (SELECT portfolio_id, date, t, port_value, (port_value - prev) / NULLIF(p
 
 
 def _returns(spark, d):
-    return pf.portfolio_returns(pf.normalize_prices(b.flag_prices(spark, d)), b.allocations(spark, d))
+    prices = b.flag_prices(spark, d)
+    return pf.portfolio_returns(pf.normalize_prices(prices), b.allocations(spark, d), pf.priced_symbols(prices))
 
 
 def _values(spark, d):
-    return pf.portfolio_value(pf.normalize_prices(b.flag_prices(spark, d)), b.allocations(spark, d))
+    prices = b.flag_prices(spark, d)
+    return pf.portfolio_value(pf.normalize_prices(prices), b.allocations(spark, d), pf.priced_symbols(prices))
 
 
 @query("normalize_prices", f"{NORM} SELECT date, symbol, ROUND(norm, 6) AS norm FROM norm")
@@ -118,6 +120,23 @@ def apply_series(spark, d):
     return b.rounded(pf.apply_series(b.order_prices(spark, d), lambda p: p.diff(), lookback=1), "value")
 
 
+@query("cross_rank", f"""WITH {b.PX}, {b.PXA}
+SELECT date, symbol, CASE WHEN price IS NOT NULL THEN CAST(rank() OVER (PARTITION BY date ORDER BY price DESC NULLS LAST) AS DOUBLE) END AS rank FROM pxa""")
+def cross_rank(spark, d):
+    """The place of every price among all symbols of its date, from panels of some dates and all symbols."""
+    return pf.cross_rank(b.order_prices(spark, d), cells=1000).withColumn("rank", F.nanvl("rank", F.lit(None).cast("double")))
+
+
+@query("rolling_covariance", f"""WITH {b.PX}, {b.PXA}
+SELECT a.date, a.symbol, o.symbol AS other, ROUND(covar_samp(f.price, g.price) / 1e9, 4) AS covariance
+FROM pxa a JOIN pxa o ON o.t = a.t JOIN pxa f ON f.symbol = a.symbol AND f.t BETWEEN a.t - 19 AND a.t
+  JOIN pxa g ON g.symbol = o.symbol AND g.t = f.t WHERE a.t >= 19 GROUP BY a.date, a.t, a.symbol, o.symbol""")
+def rolling_covariance(spark, d):
+    """Covariances of all pairs of symbols over twenty dates, in billions."""
+    found = pf.rolling_covariance(b.order_prices(spark, d), 20, cells=1000)
+    return found.withColumn("covariance", F.round(F.nanvl("covariance", F.lit(None).cast("double")) / 1e9, 4))
+
+
 @query("log_return", f"""WITH {b.PX}, {b.PXA}
 SELECT date, symbol, ROUND(ln(price / NULLIF(lag(price) OVER (PARTITION BY symbol ORDER BY t), 0)), 6) AS log_return FROM pxa""")
 def log_return(spark, d):

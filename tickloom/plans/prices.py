@@ -53,6 +53,17 @@ for _stat, _fn in ROLL_SQL.items():
         return b.rounded(ind.rolling(b.order_prices(spark, d), stat, 10), "value")
 
 
+LONG_PERIOD = 500
+for _stat, _fn in ROLL_SQL.items():
+    @query(f"rolling_{_stat}_long_period", f"""{PXA}
+    SELECT date, symbol, price, ROUND(ln(CASE WHEN t >= {LONG_PERIOD - 1} THEN {_fn}(price) {_w(LONG_PERIOD)} END), 9) AS log_value FROM pxa""")
+    def _rolling_long(spark, d, stat=_stat):
+        """Frames that are put together from both borders of calendar chunks. Logarithms, whose digits never lie between two
+        rounded numbers, as those of a mean of cents may."""
+        out = ind.rolling(b.order_prices(spark, d), stat, LONG_PERIOD)
+        return out.select("date", "symbol", "price", F.round(F.ln("value"), 9).alias("log_value"))
+
+
 DIFF = f"""{PXA}, df AS (
   SELECT date, t, symbol, price, price - lag(price) OVER (PARTITION BY symbol ORDER BY t) AS diff FROM pxa)"""
 GL = f"""{DIFF}, gl AS (

@@ -11,6 +11,10 @@ from tickloom.plans.registry import query
 from tickloom.session import scratch_path
 from tickloom.sources import files as fl
 from tickloom.sources import text as tx
+from tickloom.sources import zips
+from tickloom.sources.zips import file_system
+
+ZIP_MEMBER_LINES = 100_000
 
 NATION = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
 NATION_SCHEMA = T.StructType([T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
@@ -84,43 +88,51 @@ def scan_quarter_tables(spark, d):
 
 
 def _zip_orders(spark, d):
-    """The orders as zip archives, one per input partition, with a member per year and one that leads outside."""
+    """The orders as zip archives, one per input split, with members by year and one that leads outside.
+
+    Lines are streamed: a split writes a member whenever it holds ``ZIP_MEMBER_LINES`` lines of a year, so nothing grows
+    with the split.
+    """
     path = scratch_path(spark, "zips")
 
     def pack(frames):
         import os
-        import re
         import zipfile
 
         import pandas as pd
-        from pyarrow import fs
         from pyspark import TaskContext
 
-        system, base = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", target))
+        system, base = file_system(path)
         system.create_dir(base, recursive=True)
         name = f"part-{TaskContext.get().partitionId():05d}.zip"
-        texts = {}
-        for frame in frames:
-            for year, rows in frame.groupby("year"):
-                texts.setdefault(f"{year}/sub.txt", []).append("".join(line + "\n" for line in rows["line"]))
+        held, written = {}, 0
         with system.open_output_stream(f"{base}/{name}") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            for member, parts in texts.items():
-                z.writestr(member, "".join(parts))
+
+            def flush(year):
+                z.writestr(f"{year}/sub-{written}.txt", "".join(line + "\n" for line in held.pop(year)))
+                return written + 1
+
+            for frame in frames:
+                for year, rows in frame.groupby("year"):
+                    held.setdefault(year, []).extend(rows["line"])
+                    if len(held[year]) >= ZIP_MEMBER_LINES:
+                        written = flush(year)
+            for year in list(held):
+                written = flush(year)
             z.writestr(os.path.join("..", "outside.txt"), "never read\n")
         yield pd.DataFrame({"name": [name]})
 
-    target = path if "://" in path or path.startswith("file:") else f"file://{path}"
     line = F.concat_ws("\t", "o_orderkey", "o_orderstatus")
     orders = b.table(spark, d, "orders").select(F.year("o_orderdate").alias("year"), line.alias("line"))
-    orders.repartition(4, "year").mapInPandas(pack, "name string").write.format("noop").mode("overwrite").save()
+    orders.mapInPandas(pack, "name string").write.format("noop").mode("overwrite").save()
     return path
 
 
 @query("scan_zip_members", "SELECT CAST(year(o_orderdate) AS VARCHAR) || '/sub.txt' AS member, o_orderkey, o_orderstatus FROM orders")
 def scan_zip_members(spark, d):
-    lines = fl.scan_zip_members(spark, _zip_orders(spark, d))
+    lines = zips.scan_zip_members(spark, _zip_orders(spark, d))
     parts = F.split("line", "\t")
-    return lines.select("member", parts[0].cast("long").alias("o_orderkey"), parts[1].alias("o_orderstatus"))
+    return lines.select(F.regexp_replace("member", r"/sub-\d+", "/sub").alias("member"), parts[0].cast("long").alias("o_orderkey"), parts[1].alias("o_orderstatus"))
 
 
 @query("scan_json_document", f"""SELECT CAST(l_partkey AS VARCHAR) AS cik, 'Supplier ' || CAST(l_suppkey AS VARCHAR) AS "entityName",

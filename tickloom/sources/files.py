@@ -1,9 +1,9 @@
-"""Parquet scans, sinks and reports, zip archives, and price and bar scans."""
+"""Parquet scans, sinks and reports, and price and bar scans."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.sources.text import safe_member
+from tickloom.sources.zips import file_system
 
 
 def sink_parquet_gzip(df: DataFrame, path: str) -> None:
@@ -26,12 +26,7 @@ def _opener():
     """Opens a file by URI on whichever shared file system it lies."""
 
     def open_file(uri):
-        import re
-
-        from pyarrow import fs
-
-        uri = re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/(?!/)", "file:///", uri))
-        system, path = fs.FileSystem.from_uri(uri)
+        system, path = file_system(uri)
         return system.open_input_file(path)
 
     return open_file
@@ -68,57 +63,6 @@ def parquet_metadata_report(spark: SparkSession, path: str) -> DataFrame:
     return list_files(spark, path, "*.parquet").repartition(tasks, "path").mapInPandas(footers, schema)
 
 
-def scan_zip_members(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """Lines of the text members of zip archives: ``(archive, member, line_no, line)``.
-
-    Members whose path leads out of the archive's directory are skipped. The archives' directories
-    are listed first; then each member is its own unit of work and is streamed in bounded batches. Bytes that are
-    not in ``encoding`` are an error.
-    """
-    open_file, safe = _opener(), safe_member
-
-    def members(batches):
-        import zipfile
-
-        import pyarrow as pa
-
-        for batch in batches:
-            for archive in batch.column(0).to_pylist():
-                with open_file(archive) as f, zipfile.ZipFile(f) as z:
-                    names = [i.filename for i in z.infolist() if not i.is_dir() and safe(i.filename)]
-                yield pa.RecordBatch.from_pydict({"archive": pa.array([archive] * len(names), pa.string()),
-                                                  "member": pa.array(names, pa.string())})
-
-    def lines(batches):
-        import io
-        import zipfile
-
-        import pyarrow as pa
-
-        def held_lines(archive, member, first, held):
-            n = len(held)
-            return pa.RecordBatch.from_pydict({
-                "archive": pa.array([archive] * n, pa.string()), "member": pa.array([member] * n, pa.string()),
-                "line_no": pa.array(range(first, first + n), pa.int64()), "line": pa.array(held, pa.string())})
-
-        for batch in batches:
-            for archive, member in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                with open_file(archive) as f, zipfile.ZipFile(f) as z, z.open(member) as raw:
-                    first, held, size = 0, [], 0
-                    for line in io.TextIOWrapper(raw, encoding=encoding):
-                        held.append(line.rstrip("\r\n"))
-                        size += len(line)
-                        if size > 4_000_000:
-                            yield held_lines(archive, member, first, held)
-                            first, held, size = first + len(held), [], 0
-                    yield held_lines(archive, member, first, held)
-
-    tasks = spark.sparkContext.defaultParallelism
-    found = list_files(spark, path, "*.zip").repartition(tasks, "path").mapInArrow(members, "archive string, member string")
-    return found.repartition(tasks, "archive", "member").mapInArrow(
-        lines, "archive string, member string, line_no long, line string")
-
-
 def scan_prices(prices: DataFrame, symbols, asof: str, years: int = 1) -> DataFrame:
     """Prices of the listed symbols over the ``years`` before ``asof``."""
     day = F.lit(asof).cast("date")
