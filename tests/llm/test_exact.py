@@ -65,13 +65,48 @@ def test_texts_of_one_hash_are_chained(spark, monkeypatch):
     assert got == plain_report(rows)
 
 
-def test_directory_splits_overfull_buckets(spark):
-    keys = spark.range(4000).select(F.when(F.col("id") < 500, F.col("id")).otherwise(F.xxhash64("id")).alias("h")).distinct()
-    table, bits = exact.directory(keys, capacity=100)
-    placed = keys.withColumn("slot", exact.slot_of("h", bits)).join(table, "slot")
-    assert placed.count() == keys.count()
-    buckets = placed.groupBy("bucket", "depth").agg(F.count("h").alias("n")).collect()
-    assert all(r.n <= 100 or r.depth == bits for r in buckets) and len(buckets) > 30
-    assert len({r.bucket for r in buckets}) == len(buckets)
-    spans = sorted((r.bucket, r.bucket + (1 << bits - r.depth)) for r in buckets)
-    assert all(a[1] <= c[0] for a, c in zip(spans[:-1], spans[1:]))
+def test_directory_doubles_until_no_bucket_is_overfull(spark):
+    """Hashes that agree in all but their last bits, and hashes that are spread."""
+    low = F.when(F.col("id") < 500, F.col("id")).when(F.col("id") < 520, F.col("id") - (1 << 62)).otherwise(F.xxhash64("id"))
+    keys = spark.range(4000).select(low.alias("h")).distinct()
+    table = exact.directory(keys, capacity=100)
+    placed = exact.find_buckets(keys, table)
+    assert placed.where("bucket IS NULL").count() == 0 and placed.count() == keys.count()
+    depth = {r.bucket: (r.depth, r.size) for r in table.collect()}
+    buckets = placed.groupBy("bucket").agg(F.count("h").alias("n"), F.min("h").alias("low"), F.max("h").alias("high")).orderBy("bucket").collect()
+    assert all(r.n <= 100 and r.n == depth[r.bucket][1] for r in buckets) and len(buckets) > 40
+    for r in buckets:
+        d = depth[r.bucket][0]
+        assert r.bucket <= r.low and r.high < r.bucket + (1 << 64 - d)  # a bucket is a range of its depth
+    assert all(a.high < c.bucket for a, c in zip(buckets[:-1], buckets[1:]))
+    assert max(d for d, _ in depth.values()) > 50
+    assert exact.find_buckets(keys.limit(0), exact.directory(keys.limit(0), 100)).count() == 0
+
+
+def test_one_hash_is_the_smallest_bucket(spark):
+    keys = spark.range(300).select(F.col("id").alias("h"))
+    table = exact.directory(keys, capacity=0.5)
+    assert {(r.depth, r.size) for r in table.collect()} == {(64, 1)}
+    assert exact.find_buckets(keys, table).where("bucket <> h").count() == 0
+
+
+def test_owners_chain_without_another_exchange(spark):
+    rows = hard_rows()
+    docs = make(spark, rows)
+    entries, index = exact.build_index(docs, capacity=20)
+    made = exact.chains(docs, index)
+    made.collect()
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    above = plan.split("Exchange hashpartitioning(bucket")[0]
+    assert "Exchange" not in above and above.count("Aggregate") >= 4 and "Python" not in plan
+    hashes = [r.h for r in index.collect()]
+    assert hashes == sorted(hashes)  # the index lies in the order of the hash
+
+
+def test_an_index_of_other_rows_is_an_error(spark):
+    docs = make(spark, [(1, "a"), (2, "a"), (3, "b")])
+    _, index = exact.build_index(docs)
+    import pytest
+
+    with pytest.raises(Exception, match="does not count the rows"):
+        exact.chains(docs.unionByName(docs.where("doc_id = 2")), index).collect()

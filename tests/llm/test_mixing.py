@@ -58,3 +58,45 @@ def test_repeated_ids_are_taken_each(spark):
     out = mixing.mix_plan(make(spark, rows)).collect()
     assert sorted((str(r.id), r.size, r.taken) for r in out) == [("1", 2, 2), ("1", 3, 3), ("1", 3, 3), ("None", 0, 0), ("None", 4, 4)]
     assert sorted(r.text for r in mixing.mix(make(spark, rows)).collect()) == ["a b c", "a b c", "d e", "f g h i"]
+
+
+def test_the_schedule_moves_positions(spark):
+    docs = make(spark, hard_rows())
+    plans = [{r.id: r for r in mixing.mix_plan(docs, slope=lambda w, k=k: k * mixing.default_slope(w)).collect()} for k in (1, 0)]
+    moved = [d for d, r in plans[0].items() if r.first_position != plans[1][d].first_position]
+    assert len(moved) > 100 and all(plans[0][d].taken == plans[1][d].taken for d in plans[0])
+    assert all(r.last_position >= r.first_position for r in plans[0].values() if r.taken)
+    assert any(r.last_position > r.first_position for r in plans[0].values() if r.taken > r.size)
+
+
+def test_rows_without_id_are_spread(spark, monkeypatch):
+    """30,000 rows without an id: alike ones are one entry, others lie in several blocks."""
+    rows = spark.range(0, 30_000, 1, 8).selectExpr("cast(null as long) doc_id", "repeat('w ', cast(1 + id % 3000 as int)) as text", "'s' as source")
+    sized = mixing._sized(rows, "doc_id", "text", "source")
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 500)
+    kept = {}
+    real = mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", lambda df, label: kept.setdefault(label, real(df, label)))
+    offsets = mixing._offsets(sized, 3, mixing.cyclic_weights, mixing.default_slope, "mix-1")
+    assert offsets.count() == 3000 and kept["mix-placed"].select("block").distinct().count() >= 5
+    monkeypatch.undo()
+    monkeypatch.setattr(mixing, "LIKE_ROWS", 3)
+    plan = mixing.mix_plan(rows)
+    assert plan.count() == 30_000 and plan.where("taken <> size").count() == 0
+    assert plan.select("size", "first_position").distinct().count() == 30_000
+
+
+def test_many_sources(spark):
+    docs = spark.range(5000).selectExpr("id as doc_id", "repeat('w ', cast(1 + id % 7 as int)) as text", "concat('site', id) as source")
+    plan = mixing.mix_plan(docs)
+    rows = plan.collect()
+    assert len(rows) == 5000 and all(abs(r.taken - r.target) <= 0.5 and r.target <= 3 * r.size for r in rows)
+    assert abs(sum(r.taken for r in rows) - sum(r.size for r in rows)) <= 2500
+
+
+def test_alike_rows_of_other_content_are_copied_each(spark):
+    rows = [(None, f"w{i} x y", "s") for i in range(50)] + [(None, "same text now", "s")] * 30 + [(7, "a b", "s")]
+    out = sorted(r.text for r in mixing.mix(make(spark, rows)).collect())
+    words = Counter(w for t in out for w in t.split())
+    assert sum(words.values()) == sum(r.taken for r in mixing.mix_plan(make(spark, rows)).collect())
+    assert all(words[f"w{i}"] >= 1 for i in range(50)) and words["same"] >= 30

@@ -74,6 +74,84 @@ def test_licenses_match_brute_force(spark, hard):
     assert licenses.summary(licenses.scan(hard.limit(0))).count() == 0
 
 
+def all_matches(text, templates, min_share=0.6):
+    """Every start of every template, also before the text, judged by itself."""
+    w = WORD.findall((text or "").translate(UPPER))
+    out = []
+    for label, template, keys in templates:
+        t = template.split()
+        must = {at + k for phrase in keys for p in [phrase.split()] for at in [next(i for i in range(len(t)) if t[i:i + len(p)] == p)] for k in range(len(p))}
+        for start in range(1 - len(t), len(w)):
+            same = [0 <= start + k < len(w) and w[start + k] == x for k, x in enumerate(t)]
+            if all(same[k] for k in must) and sum(same) / len(t) >= min_share:
+                out.append((start, label, len(t), round(sum(same) / len(t), 9)))
+    return sorted(out)
+
+
+def whole_templates():
+    return [(label, text, [text]) for label, text in licenses.PHRASES] + licenses.TEMPLATES
+
+
+def test_all_labels_match_brute_force(spark, hard):
+    notices = [" ".join(["x"] * (i % 3) + t.split()[i % 5:] + ["the", "mit"]) for i, (_, t, _) in enumerate(whole_templates())]
+    notices += [t.replace("license", "licence") for _, t, _ in whole_templates()] + [" ".join(t for _, t, _ in licenses.TEMPLATES)]
+    rows = [(i, t, None, None, 1, 2, "x", "y") for i, t in enumerate(notices)]
+    docs = spark.createDataFrame(rows, SCHEMA).union(spark.read.parquet(f"{SF}/documents.parquet").limit(60).selectExpr(
+        "doc_id + 1000 as doc_id", "text", "lang", "source", "n_chars", "1", "'a'", "'b'")).union(hard.where("doc_id IS NOT NULL").selectExpr(
+            "doc_id + 5000 as doc_id", *hard.columns[1:]))
+    texts = {}
+    for d, t in pairs(docs):
+        texts.setdefault(d, []).append(all_matches(t, whole_templates()))
+    got = {}
+    for r in licenses.scan(docs.repartition(3)).collect():
+        got.setdefault(r.id, []).append(sorted((m.start, m.label, m.words, round(m.share, 9)) for m in r.matches))
+    assert {d: sorted(m) for d, m in got.items()} == {d: sorted(m) for d, m in texts.items()}
+
+
+def test_labels_do_not_depend_on_other_documents(spark):
+    mine = [(0, "by the MIT License"), (1, "released under an mit license")]
+    for others in ([], [(i + 10, "mit mit License released under the") for i in range(50)], [(i + 10, "by the way") for i in range(50)]):
+        rows = [(d, t, None, None, 1, 2, "x", "y") for d, t in mine + others]
+        got = {r.id: r.labels for r in licenses.summary(licenses.scan(spark.createDataFrame(rows, SCHEMA))).collect()}
+        assert got[0] == got[1] == "mit"
+
+
+def test_cost_does_not_grow_with_the_templates():
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tickloom.llm import vec
+
+    rng = np.random.default_rng(3)
+    more = [(f"l{i}", " ".join(f"t{w}" for w in rng.integers(0, 5000, 120)) + f" key{i} phrase{i}", [f"key{i} phrase{i}"]) for i in range(1000)]
+    texts = pa.array([" ".join(f"t{w}" if w % 3 else f"o{w}" for w in rng.integers(0, 5000, 400)) + " released under the MIT license" for _ in range(300)])
+    slices = [licenses.word_hashes(d, o) for _, d, o in vec.slices(texts)]
+
+    def seconds(templates):
+        index = licenses.Index(templates).open_by(_held(licenses.Index(templates)))
+        best = []
+        for _ in range(5):
+            began = time.perf_counter()
+            found = [index.matches(index.place(h), first, 0.6) for h, first in slices]
+            best.append(time.perf_counter() - began)
+        assert sum(len(f[0]) for f in found) == 300
+        return min(best)
+
+    def _held(index):
+        return np.array([1 if w.startswith(("key", "phrase")) else 100 for w in index.words])
+
+    assert seconds(licenses.TEMPLATES + more) <= 3 * seconds(licenses.TEMPLATES) + 0.05
+
+
+def test_templates_are_checked():
+    with pytest.raises(ValueError, match="not in its template"):
+        licenses.Index([("a", "one two", ["three"])])
+    with pytest.raises(ValueError, match="without words"):
+        licenses.Index([("a", "", [])])
+
+
 def test_secrets_match_brute_force(spark, hard):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert secret_rows(queries.op9(spark, SF)) == sorted(secret_row(*p) for p in pairs(docs))

@@ -106,3 +106,16 @@ def test_many_edits_of_one_text(spark, tokenizer):
     assert (rows[2].text, rows[2].counts[1]) == ("a", 1)
     assert rows[3].text == "untouched text" and rows[3].encoded_chars == 0
     assert counting.build_trees(docs.limit(0)).count() == 0
+
+
+def test_query_edits_stored_trees(spark, tokenizer):
+    """The query reads written trees, and its counts are those of the edited texts."""
+    rows = {r.doc_id: r for r in queries.op5(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("edits", queries.derived_edits())
+    for r in docs.collect():
+        got, text = rows[r.doc_id], edited(r.text or "", r.edits)
+        assert got.n_chars_after == len(text) and got.encoded_chars >= sum(len(e["put"]) for e in r.edits)
+        if "<|endoftext|>" not in text + (r.text or ""):
+            assert (got.n_tokens, got.n_tokens_after) == (len(ids_of(tokenizer, r.text)), len(ids_of(tokenizer, text)))
+    plan = queries.op5(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "token-trees-" in plan and "documents.parquet" not in plan

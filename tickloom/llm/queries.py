@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import counting, exact, licenses, minhash, mixing, neighbours, packing, periods, quality, secrets, sql, substring, twofit, whitening
 from tickloom.llm.common import documents
+from tickloom.session import materialize
 
 QUERIES, SQL = {}, {}
 
@@ -22,7 +23,7 @@ def query(name, text=None):
 def op4(spark, d):
     """In the order of the documents' first training positions, those that are not taken last."""
     plan = mixing.mix_plan(documents(spark, d)).orderBy(F.asc_nulls_last("first_position"), "id", "size")
-    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "first_position", "last_position")
 
 
 @query("op10_exact_dedup", sql.OP10)
@@ -49,7 +50,9 @@ def derived_edits():
 
 @query("op5_edit_aware_token_counts")
 def op5(spark, d):
-    done = counting.recount(documents(spark, d), derived_edits(), added=True)
+    """Trees of all documents are built and written; the edits are applied to the stored trees."""
+    trees = materialize(counting.build_trees(documents(spark, d), "doc_id", "text", derived_edits().alias("edits"), added=True), "token-trees")
+    done = counting.apply_edits(trees, added=True)
     return done.select(F.col("id").alias("doc_id"), F.col("n_before").alias("n_tokens"),
                        F.element_at("counts", 2).alias("n_tokens_after"), F.length("text").cast("long").alias("n_chars_after"),
                        "encoded_chars")

@@ -32,13 +32,16 @@ r AS (SELECT *, cap / weight AS room FROM w),
 l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0))::DOUBLE AS level,
     row_number() OVER (ORDER BY room, sid) AS place FROM r WINDOW b AS (ORDER BY room, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT *, least(cap::DOUBLE, (SELECT arg_min(level, place) FROM l WHERE level <= room) * weight) AS target FROM l),
-p AS (SELECT source, source_size, target, least(floor(target + 0.5)::BIGINT, cap) AS take FROM t),
+p AS (SELECT source, source_size, target, least(floor(target + 0.5)::BIGINT, cap) AS take, (2.0::DOUBLE - weight) / 2 AS slope FROM t),
 q AS (SELECT *, CASE WHEN source_size > 0 THEN take // source_size ELSE 0 END AS passes, CASE WHEN source_size > 0 THEN take % source_size ELSE 0 END AS rest FROM p),
-o AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.passes, q.rest,
-    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix-1' || coalesce(d.doc_id::VARCHAR, '')), d.doc_id NULLS FIRST, d.size
+o AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.passes, q.rest, q.take, q.slope,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix-1' || coalesce(d.doc_id::VARCHAR, '') || ':' || d.size), d.doc_id NULLS FIRST, d.size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
-  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
-SELECT doc_id, size, source_size, target, (size * passes + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM o"""
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+c AS (SELECT *, (size * passes + greatest(0, least(size, rest - before)))::BIGINT AS taken, before::DOUBLE / greatest(take, 1) AS y,
+    ((CASE WHEN rest > before THEN passes ELSE passes - 1 END) * source_size + before)::DOUBLE / greatest(take, 1) AS z, 1 + slope AS b FROM o)
+SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN 2 * y / (b + sqrt(greatest(b * b - 4 * slope * y, 0.0::DOUBLE))) END AS first_position,
+  CASE WHEN taken > 0 THEN 2 * z / (b + sqrt(greatest(b * b - 4 * slope * z, 0.0::DOUBLE))) END AS last_position FROM c"""
 
 OP10 = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
