@@ -1,12 +1,14 @@
 """Headline queries, timed: one warm-up and the median of three runs each; prints one JSON line.
 
-Environment: BENCH_SF_DIR (tables), BENCH_CPUS (local cores), BENCH_RUNS (timed runs), BENCH_QUERIES.
+Environment: BENCH_SF_DIR (tables), BENCH_CPUS (local cores), BENCH_RUNS (timed runs), BENCH_QUERIES,
+BENCH_SHARED_DIR (the folder that executors share; in local mode a new temporary one).
 """
 
 import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,6 +31,7 @@ def main():
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("tickloom-bench")
              .config("spark.sql.shuffle.partitions", cpus).config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "16g")
+             .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="tickloom-shared-"))
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}

@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -16,7 +17,7 @@ from tickloom.session import clear_scratch
 def main(sf_dir, names):
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-             .config("spark.driver.memory", "12g").getOrCreate())
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tickloom-shared-")).config("spark.driver.memory", "12g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     queries, sql = entry.queries(), entry.oracle_sql()

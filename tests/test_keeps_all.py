@@ -157,7 +157,7 @@ def test_nested_documents_match_a_plain_walk(spark):
     def value(depth):
         kind = rng.randrange(9 if depth else 6)
         if kind < 6:
-            return [None, True, rng.choice([1, 2**31, -2**31, 2**63, 1e400 * 0 or 5]), 2.5, "t", {"$date": "x"}][kind]
+            return [None, True, rng.choice([1, 2**31, -2**31, 2**63, 5]), 2.5, "t", {"$date": "x"}][kind]
         if kind == 6:
             return [value(depth - 1) for _ in range(rng.randrange(3))]
         return fields(depth - 1, rng.randrange(4))
