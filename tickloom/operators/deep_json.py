@@ -8,7 +8,7 @@ _TOKEN = re.compile(r'[ \t\n\r]*(?:([{}\[\],:])|(")|(-?(?:0|[1-9]\d*)(\.\d+)?([e
 
 def document_types(text: str, wrapped: dict, step: str, elements: str) -> list:
     """``(path, root, type)`` of every place of a document, by the rules of ``schema_merge``; empty if the text is not a JSON
-    object. Each open object or list keeps what its fields hold until it closes, since a name may come twice and an object may
+    object; what follows the object is not read. Each open object or list keeps what its fields hold until it closes, since a name may come twice and an object may
     turn out to be a wrapped scalar."""
     try:
         return _types(text, wrapped, step, elements)
@@ -17,15 +17,11 @@ def document_types(text: str, wrapped: dict, step: str, elements: str) -> list:
 
 
 def _types(text: str, wrapped: dict, step: str, elements: str) -> list:
-    frames, at, done = [], 0, None  # frame: [closing mark, path, root, {field: its types}, awaited, field]
+    frames, at = [], 0  # frame: [closing mark, path, root, {field: its types}, awaited, field]
     while True:
         token = _TOKEN.match(text, at)
         if not token:
-            if done is not None and not text[at:].strip(" \t\n\r"):
-                return done
             raise ValueError("not JSON")
-        if done is not None:
-            raise ValueError("text behind the document")
         at, mark = token.end(), token.group(1)
         frame = frames[-1] if frames else None
         if frame and frame[4] in ("name", "first name"):
@@ -70,8 +66,7 @@ def _types(text: str, wrapped: dict, step: str, elements: str) -> list:
                 kind = "double" if token.group(4) or token.group(5) else _whole(int(token.group(3)))
             found = [(path, root, kind)]
         if not frames:
-            done = found
-            continue
+            return found
         _put(frames[-1], found)
 
 

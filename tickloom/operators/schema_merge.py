@@ -9,7 +9,8 @@ A schema is held as rows ``(path, type)``: ``a.b`` for field b of a, ``a[]`` for
 with other marks in backquotes. Merging is then a grouping by path, so neither the documents nor their
 shapes meet on the driver, and type texts are folded from the paths level by level, so a schema is one text only in the
 end. Documents are walked as VARIANT values inside the JVM; very deeply nested ones by a loop over their text. Texts that are not JSON objects have no schema and
-add nothing; they are the rows ``nested.failed_rows`` returns. Of a name that an object holds twice the last value counts.
+add nothing; they are the rows ``nested.failed_rows`` returns. Of a name that an object holds twice the last value counts;
+what follows the object in a text is not read.
 """
 
 from contextlib import contextmanager
@@ -108,10 +109,10 @@ def document_paths(df: DataFrame, key_col: str, text_col: str) -> DataFrame:
     texts = df.where(F.col(text_col).isNotNull() & F.col(key_col).isNotNull()).select(
         F.col(key_col).alias("k"), F.col(text_col).alias("text"), _nesting(F.col(text_col)).alias("nesting"))
     deep = F.col("nesting") > NESTED
-    parsed = F.explode(F.array(F.when(~deep, F.try_parse_json("text")))).alias("v")
-    nodes = texts.select("k", F.lit("").alias("p"), F.when(deep, _DEEP).otherwise("").alias("t"), parsed, deep.alias("done"))
     ways, by_text = None, False
-    with _last_of_repeated_names(df.sparkSession):
+    with _last_of_repeated_names(df.sparkSession):  # the setting counts when the parse is analysed
+        parsed = F.explode(F.array(F.when(~deep, F.try_parse_json("text")))).alias("v")
+        nodes = texts.select("k", F.lit("").alias("p"), F.when(deep, _DEEP).otherwise("").alias("t"), parsed, deep.alias("done"))
         while True:
             for _ in range(LEVELS):
                 nodes = _level(nodes)

@@ -204,6 +204,24 @@ def series_long(spark, d):
     return ind.series_long(bands, ["adj_close", "top", "bottom", "sma"])
 
 
+@query("series_long_stochastic", f"""{PXA}, {_stochastic_sql()}
+SELECT date, symbol, 'prices' AS series, price AS value FROM kd
+UNION ALL SELECT date, symbol, 'percent_k', ROUND(percent_k, 6) FROM kd
+UNION ALL SELECT date, symbol, 'percent_d', ROUND(percent_d, 6) FROM kd""")
+def series_long_stochastic(spark, d):
+    """Price, %K and %D of all symbols as plot rows."""
+    lines = b.rounded(ind.stochastic(b.order_prices(spark, d), 14, 3), "percent_k", "percent_d")
+    return ind.series_long(lines, ["prices", "percent_k", "percent_d"])
+
+
+@query("series_long_symbols", f"""{PXA}, nf AS (SELECT symbol, arg_min(price, date) AS first FROM px GROUP BY 1)
+SELECT p.date, p.symbol AS series, ROUND(p.price / NULLIF(nf.first, 0), 6) AS value FROM px p JOIN nf USING (symbol)""")
+def series_long_symbols(spark, d):
+    """Normalised prices of several symbols, a series for each."""
+    lines = ind.normalized_price(b.order_prices(spark, d), "price")
+    return lines.select("date", F.col("symbol").alias("series"), F.round("normalized", 6).alias("value"))
+
+
 @query("threshold_overlay", f"""{RSI} SELECT date, symbol, ROUND(rsi, 6) AS rsi,
   CASE WHEN t % 5 = 0 THEN 70.0::DOUBLE END AS overbought, CASE WHEN t % 5 = 0 THEN 30.0::DOUBLE END AS oversold FROM rsi""")
 def threshold_overlay(spark, d):
