@@ -151,7 +151,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     offsets = _offsets(_sized(docs, id_col, text_col, source_col), max_epochs, weigh, slope, seed)
     plan = offsets.withColumns(_key()).drop("id", "source", "size", "target")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = lookup(_sized(docs, id_col, text_col, source_col, row.alias("row")).withColumns(_key()), plan, ["k1", "k2"], "inner")
+    # the plan grows with the documents: joined by shuffling both at every size, a hot key's rows are split by the adaptive join
+    rows = _sized(docs, id_col, text_col, source_col, row.alias("row")).withColumns(_key()).join(plan.hint("merge"), ["k1", "k2"])
     once = rows.where("times = 1").withColumn("nth", F.lit(0).cast("long"))
     alike = rows.where("times > 1").withColumn("tie", F.xxhash64("row"))
     if not plan.where("times > 1").isEmpty():
