@@ -34,7 +34,7 @@ def plain_mix(rows):
     taken = {}
     for s in sources:
         passes, part = divmod(min(int(target[s] + 0.5), 3 * total[s]), total[s]) if total[s] else (0, 0)
-        for d in sorted(members[s], key=lambda d: hashlib.md5(f"{mixing.SEED}{'' if d is None else d}".encode()).hexdigest()):
+        for d in sorted(members[s], key=lambda d: hashlib.md5(f"{mixing.SEED}{'' if d is None else d}:{size[d]}".encode()).hexdigest()):
             head = min(size[d], part)
             part -= head
             taken[d] = size[d] * passes + head
