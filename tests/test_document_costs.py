@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.operators import nested as ns
 from tickloom.plans import documents as dc
 from tickloom.plans import scans as sc
 
@@ -30,3 +31,32 @@ def test_scanned_documents_lie_packed_in_bounded_files(spark, lines, tmp_path, m
     text = dc.documents(spark, lines).agg(F.sum(F.length("text") + 1)).first()[0]
     assert sum(f.stat().st_size for f in files) * 4 < text
     assert max(spark.read.text(str(f)).count() for f in files) <= 40
+
+
+ODD_NUMBERS = ["7", " 7 ", "\t-7\n", "+7", "7.0", "7.", "", " ", "-", "seven", "R", "99999999999", "99999999999999999999", "1e3", "7 7", " 7", "٧", "7\x7f", None]
+
+
+def test_scalar_fields_are_cast_once_and_as_before(spark):
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(ODD_NUMBERS)], "i int, a string, b string").repartition(2)
+    plain = {r.i: (r.a, r.b) for r in df.select("i", F.col("a").try_cast("int"), F.col("b").try_cast("long")).toDF("i", "a", "b").collect()}
+    out = ns.write_scalar_fields(df, {"a": "int", "b": "bigint"})
+    assert {r.i: (r.a, r.b) for r in out.collect()} == plain
+    text = {i: t for i, t in enumerate(ODD_NUMBERS)}
+    assert {r.i: r._errors for r in out.collect()} == {
+        i: [f for f, v in zip("ab", plain[i], strict=True) if text[i] is not None and v is None] for i in plain}
+    for made in (out, ns.write_scalar_fields(df, {"a": "int", "b": "bigint"}, strict=True)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("try_cast(a") == plan.count("try_cast(b") == 1 and "RLIKE" in plan
+
+
+def test_dates_and_numbers_read_as_before(spark):
+    dates = ["2020-02-29", "2021-02-29", "2020-13-01", "2020-2-9", " 2020-02-09", "2020-02-09 ", "2020-02-09T01:00", "02020-02-09", "+12020-02-09",
+             "0000-01-01", "9999-12-31", "1582-10-10", "never", "", None]
+    df = spark.createDataFrame([(t,) for t in dates], "t string")
+    assert df.where(~ns.iso_date(F.col("t")).eqNullSafe(F.try_to_date("t", "yyyy-MM-dd"))).collect() == []
+    number = F.col("t").try_cast("decimal(38,10)")
+    before = F.coalesce(F.col("t").try_cast("long"), F.when(number == F.floor(number), number.try_cast("long")))
+    numbers = spark.createDataFrame([(t,) for t in [*ODD_NUMBERS, "3.5", "-0.0", "5000000000", "9223372036854775808.0"]], "t string")
+    assert numbers.where(~ns.whole_number(F.col("t")).eqNullSafe(before)).collect() == []
+    plan = df.select(ns.iso_date(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(t" in plan.split("gettimestamp")[0]  # ISO text by a cast, the formatter for the rest

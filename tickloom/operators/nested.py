@@ -20,6 +20,12 @@ _ITEM = "struct<end:string, val:string, accn:string, fy:string, fp:string, form:
 DOCUMENT_SCHEMA = ", ".join(f"{f} string" for f in DOCUMENT_FIELDS) + f", units map<string, array<{_ITEM}>>"
 _CORRUPT = "_corrupt"
 
+# Text that a cast reads as a whole number, blanks and control marks around it included, and text of an ISO date. A cast that
+# fails throws and catches an error inside, which takes far longer than the row, so text is matched first.
+_WHOLE = r"\A[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*\z"
+_ISO_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+_WHOLE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
 
 def parse_documents(df: DataFrame, text_col: str) -> DataFrame:
     """``df`` with the parsed ``doc`` beside the text; ``_corrupt`` holds a text that is not a JSON object.
@@ -72,7 +78,13 @@ def replace_key(docs: DataFrame, requested: Column, key: str = "cik") -> DataFra
 def whole_number(text: Column) -> Column:
     """The long that ``text`` writes, also as ``7.0``; missing for anything else."""
     number = text.try_cast("decimal(38,10)")
-    return F.coalesce(text.try_cast("long"), F.when(number == F.floor(number), number.try_cast("long")))
+    return F.coalesce(F.when(text.rlike(_WHOLE), text.try_cast("long")),
+                      F.when(text.rlike(r"\p{Nd}") & (number == F.floor(number)), number.try_cast("long")))
+
+
+def iso_date(text: Column) -> Column:
+    """The date that ``text`` writes as ``yyyy-MM-dd``; missing for anything else. Plain ISO text needs no formatter."""
+    return F.when(text.rlike(_ISO_DATE), text.try_cast("date")).otherwise(F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def write_units_struct(docs: DataFrame) -> DataFrame:
@@ -83,7 +95,7 @@ def write_units_struct(docs: DataFrame) -> DataFrame:
 
     def item(u):
         text = [u[f].cast("string").alias(f) for f in UNIT_TEXT_FIELDS]
-        dates = [F.try_to_date(u[f], "yyyy-MM-dd").alias(f) for f in UNIT_DATE_FIELDS]
+        dates = [iso_date(u[f]).alias(f) for f in UNIT_DATE_FIELDS]
         return F.struct(*text, *dates, whole_number(u["val"]).alias("val"))
 
     return docs.withColumn("units", F.transform(F.array_compact("units"), item))
@@ -113,15 +125,25 @@ def write_scalar_fields(docs: DataFrame, types: dict, *, strict: bool = False) -
     listed in ``_errors``.
     """
     rest = [c for c in docs.columns if c not in types]
-    failed = {f: F.col(f).isNotNull() & F.col(f).try_cast(t).isNull() for f, t in types.items()}
+    kinds = {f: T.StructType.fromDDL(f"x {t}")[0].dataType for f, t in types.items()}
+    number = {f: isinstance(kinds[f], _WHOLE_TYPES) and isinstance(docs.schema[f].dataType, T.StringType) for f in types}
+
+    def read(f):
+        value = F.col(f).try_cast(types[f])
+        return F.when(F.col(f).rlike(_WHOLE), value) if number[f] else value
+
+    # a column of its own, so that the cast runs once and not for the value and the error each
+    docs = docs.select("*", *[read(f).alias(f"_read_{f}") for f in types])
+    values = {f: F.col(f"_read_{f}") for f in types}
+    failed = {f: F.col(f).isNotNull() & values[f].isNull() for f in types}
     if strict:
         def value(f):
             message = F.concat(F.lit(f"field {f} cannot be read as {types[f]}: "), F.col(f).cast("string"))
-            return F.when(failed[f], F.raise_error(message)).otherwise(F.col(f).try_cast(types[f])).alias(f)
+            return F.when(failed[f], F.raise_error(message)).otherwise(values[f]).alias(f)
 
         return docs.select(*rest, *[value(f) for f in types])
     errors = F.array_compact(F.array(*[F.when(bad, F.lit(f)) for f, bad in failed.items()])).alias("_errors")
-    return docs.select(*rest, *[F.col(f).try_cast(t).alias(f) for f, t in types.items()], errors)
+    return docs.select(*rest, *[values[f].alias(f) for f in types], errors)
 
 
 def build_list(*items: Column) -> Column:
