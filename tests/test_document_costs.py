@@ -1,6 +1,7 @@
 """What document queries write and evaluate, on rows of their own."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,3 +61,25 @@ def test_dates_and_numbers_read_as_before(spark):
     assert numbers.where(~ns.whole_number(F.col("t")).eqNullSafe(before)).collect() == []
     plan = df.select(ns.iso_date(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
     assert "cast(t" in plan.split("gettimestamp")[0]  # ISO text by a cast, the formatter for the rest
+
+
+def test_documents_are_whole_and_built_once(spark, lines):
+    """The text equals one ``json`` writes for the line, and what items share is not computed in every item."""
+    def document(r):
+        ship, items = r.l_shipdate and r.l_shipdate.date(), None
+        if r.l_linenumber is not None:
+            items = [{"end": ship and str(ship + dt.timedelta(k)), "val": None if r.l_quantity is None else int(r.l_quantity) * 1000 + k,
+                      "accn": "-".join(str(x) for x in (r.l_orderkey, k) if x is not None), "fy": ship and ship.year,
+                      "fp": ship and f"Q{(ship.month + 2) // 3}", "form": "10-K" if r.l_returnflag == "A" else "10-Q",
+                      "filed": ship and str(ship + dt.timedelta(k + 30)), "frame": "CY"} for k in range(1, r.l_linenumber + 1)]
+            items = [{f: v for f, v in i.items() if v is not None} for i in items]
+        units = {"USD": items if (r.l_discount or 0) > 0 else None, "shares": items if (r.l_tax or 0) > 0.04 else None}
+        top = {"cik": r.l_partkey, "taxonomy": "us-gaap", "tag": "Assets", "label": r.l_returnflag,
+               "description": "final" if r.l_linestatus == "F" else None, "entityName": None if r.l_suppkey is None else f"Supplier {r.l_suppkey}"}
+        return json.dumps({**{f: v for f, v in top.items() if v is not None}, "units": {u: v for u, v in units.items() if v is not None},
+                           "extra": "not in the schema"}, separators=(",", ":"))
+
+    docs = dc.documents(spark, lines)
+    assert sorted(r.text for r in docs.collect()) == sorted(map(document, spark.read.parquet(f"{lines}/lineitem.parquet").collect()))
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert "year(" not in plan.split("lambdafunction(")[1].split("AS items")[0] and plan.count("filed, cast(") == 1

@@ -16,25 +16,27 @@ def documents(spark, d):
     """``(l_orderkey, l_linenumber, text)``: as many USD units as the line number, none without a
     discount; a second unit for taxed lines; keys outside the schema; a null description for open lines."""
     ship = F.to_date("l_shipdate")
+    # what all items of a line share is computed once, beside the list
+    lines = spread(b.table(spark, d, "lineitem")).withColumns({
+        "ship": ship, "base": F.floor("l_quantity") * 1000, "key": F.col("l_orderkey").cast("string"), "fy": F.year(ship),
+        "fp": F.concat(F.lit("Q"), F.quarter(ship).cast("string")), "form": F.when(F.col("l_returnflag") == "A", "10-K").otherwise("10-Q")})
 
     def item(k):
         return F.struct(
-            F.date_add(ship, k).cast("string").alias("end"),
-            (F.floor("l_quantity") * 1000 + k).cast("long").alias("val"),
-            F.concat_ws("-", "l_orderkey", k.cast("string")).alias("accn"), F.year(ship).alias("fy"),
-            F.concat(F.lit("Q"), F.quarter(ship).cast("string")).alias("fp"),
-            F.when(F.col("l_returnflag") == "A", "10-K").otherwise("10-Q").alias("form"),
-            F.date_add(ship, k + 30).cast("string").alias("filed"), F.lit("CY").alias("frame"))
-
-    items = F.transform(F.sequence(F.lit(1), "l_linenumber"), item)
-    units = F.struct(F.when(F.col("l_discount") > 0, F.col("items")).alias("USD"),
-                     F.when(F.col("l_tax") > 0.04, F.col("items")).alias("shares"))
-    doc = F.struct(
+            F.date_add("ship", k).cast("string").alias("end"), (F.col("base") + k).cast("long").alias("val"),
+            F.concat_ws("-", "key", k.cast("string")).alias("accn"), "fy", "fp", "form",
+            F.date_add("ship", k + 30).cast("string").alias("filed"), F.lit("CY").alias("frame"))
+
+    top = F.struct(
         F.col("l_partkey").alias("cik"), F.lit("us-gaap").alias("taxonomy"), F.lit("Assets").alias("tag"),
         F.col("l_returnflag").alias("label"), F.when(F.col("l_linestatus") == "F", "final").alias("description"),
-        F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("entityName"), units.alias("units"),
-        F.lit("not in the schema").alias("extra"))
-    return spread(b.table(spark, d, "lineitem")).withColumn("items", items).select(*ID, "l_suppkey", F.to_json(doc).alias("text"))
+        F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("entityName"))
+    # the items are written as JSON once, for both units; the top ends with a text field, so only its own brace is cut off
+    units = F.concat_ws(",", F.when(F.col("l_discount") > 0, F.concat(F.lit('"USD":'), "items")),
+                        F.when(F.col("l_tax") > 0.04, F.concat(F.lit('"shares":'), "items")))
+    text = F.concat(F.rtrim("top", F.lit("}")), F.lit(',"units":{'), units, F.lit('},"extra":"not in the schema"}'))
+    items = F.to_json(F.transform(F.sequence(F.lit(1), "l_linenumber"), item))
+    return lines.withColumns({"items": items, "top": F.to_json(top)}).select(*ID, "l_suppkey", text.alias("text"))
 
 
 UNITS = """items AS (
