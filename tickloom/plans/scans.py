@@ -15,8 +15,9 @@ from tickloom.sources import zips
 from tickloom.sources.zips import file_system
 
 ZIP_MEMBER_LINES = 100_000
-# Packed text cannot be split, so a file of documents holds so many at most.
+# Packed text cannot be split, so a file of documents holds so many at most; a low level packs nearly as well in half the time.
 FILE_DOCUMENTS = 250_000
+PACKED = {"compression": "gzip", "zlib.compress.level": "THREE"}
 
 NATION = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
 NATION_SCHEMA = T.StructType([T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
@@ -140,7 +141,7 @@ def scan_zip_members(spark, d):
 @query("scan_json_document", f"""SELECT CAST(l_partkey AS VARCHAR) AS cik, 'Supplier ' || CAST(l_suppkey AS VARCHAR) AS "entityName",
   CASE WHEN l_discount > 0 THEN l_linenumber END AS n_usd FROM lineitem""")
 def scan_json_document(spark, d):
-    path = _written_lines(spark, dc.documents(spark, d).select("text"), "json", compression="gzip", maxRecordsPerFile=FILE_DOCUMENTS)
+    path = _written_lines(spark, dc.documents(spark, d).select("text"), "json", maxRecordsPerFile=FILE_DOCUMENTS, **PACKED)
     usd = F.col("units")["USD"]
     docs = tx.scan_json_documents(spark, path, ns.DOCUMENT_SCHEMA)
     return docs.select("cik", "entityName", F.when(usd.isNotNull(), F.size(usd)).alias("n_usd"))
